@@ -98,19 +98,18 @@ def card_day_features(daily: DataFrame) -> DataFrame:
     return per_day.join(per_week, ["card_id", "week_start"], "left").drop("week_start")
 
 
-def _by_moment(facts: DataFrame, daily: DataFrame, moments: DataFrame, per_card: DataFrame) -> DataFrame:
-    """Everything known about a card at one of its seconds. Its undated transactions share one more row,
-    under the key ``NO_TIME``, with the features that need no time."""
-    undated = (
-        facts.filter(F.col("card_id").isNotNull() & F.col("tx_ts").isNull())
-        .groupBy("card_id")
-        .agg(*totals("n_tx"))
-        .withColumn("second", F.lit(NO_TIME))
-    )
+def _by_moment(daily: DataFrame, moments: DataFrame, per_card: DataFrame) -> DataFrame:
+    """Everything known about a card at one of its seconds; ``NO_TIME`` stands for its undated rows."""
     return (
         gaps(moments)
-        .select("card_id", "second", F.to_date("tx_ts").alias("tx_date"), "n_tx", "first_id", "gap_seconds")
-        .unionByName(undated, allowMissingColumns=True)
+        .select(
+            "card_id",
+            F.coalesce("second", F.lit(NO_TIME)).alias("second"),
+            F.to_date("tx_ts").alias("tx_date"),
+            "n_tx",
+            F.when(F.col("second").isNotNull(), F.col("first_id")).alias("first_id"),
+            "gap_seconds",
+        )
         .join(card_day_features(daily), ["card_id", "tx_date"], "left")
         .join(per_card, "card_id", "left")
         .drop("tx_date")
@@ -136,7 +135,7 @@ def transaction_features(
     merchant and by code only. Hand in ``daily`` and ``moments`` as written tables on large data; they are
     read several times.
     """
-    by_moment = _by_moment(facts, daily, moments, card_features(facts, daily, moments, cards, as_of))
+    by_moment = _by_moment(daily, moments, card_features(facts, daily, moments, cards, as_of))
     by_client = client_means(daily).join(
         user_attributes(users).select("client_id", "credit_score"), "client_id", "left"
     )

@@ -3,7 +3,8 @@
 The rows are first reduced to *moments*: one row per card and second, summed before the shuffle. A card
 has at most as many moments as the covered period has seconds, however many rows it has, and that is what
 bounds every window below. Transactions of the same second are taken as: successes first, then errors.
-Rows without a card or without a time have no place in a sequence.
+Rows without a card belong to no sequence. The undated rows of a card share one moment without a time,
+which only :func:`gaps` keeps.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ def moments(facts: DataFrame) -> DataFrame:
     """Per card and second: transactions, errors, wrong PINs and the lowest transaction id."""
     wrong_pin = F.coalesce(F.col("errors").contains(BAD_PIN), F.lit(False))
     return (
-        facts.filter(F.col("card_id").isNotNull() & F.col("tx_ts").isNotNull())
+        facts.filter(F.col("card_id").isNotNull())
         .groupBy("card_id", "tx_ts")
         .agg(
             *totals("n_tx", "n_errors"),
@@ -32,12 +33,17 @@ def moments(facts: DataFrame) -> DataFrame:
     )
 
 
+def _dated(moments: DataFrame) -> DataFrame:
+    return moments.filter(F.col("second").isNotNull())
+
+
 def _in_time():
     return Window.partitionBy("card_id").orderBy("second")
 
 
 def gaps(moments: DataFrame) -> DataFrame:
-    """Seconds since the card's previous moment; NULL for its first one."""
+    """Seconds since the card's previous moment; NULL for its first one and for undated rows, which sort
+    before it."""
     return moments.withColumn("gap_seconds", F.col("second") - F.lag("second").over(_in_time()))
 
 
@@ -61,7 +67,8 @@ def trailing(moments: DataFrame, measure: str, seconds: int, at_least: int) -> D
     """Moments at which the last ``seconds`` (both ends included) hold enough of ``measure``."""
     window = _in_time().rangeBetween(-seconds, 0)
     return (
-        moments.select("card_id", "tx_ts", F.col(measure).alias("here"), F.sum(measure).over(window).alias("n_recent"))
+        _dated(moments)
+        .select("card_id", "tx_ts", F.col(measure).alias("here"), F.sum(measure).over(window).alias("n_recent"))
         .filter((F.col("here") > 0) & (F.col("n_recent") >= at_least))
         .select("card_id", "tx_ts", "n_recent")
     )
@@ -79,7 +86,7 @@ def dormant_reactivations(moments: DataFrame, rules: BurstRules = BurstRules())
     """Moments that end a long silence of the card and begin enough transactions."""
     ahead = _in_time().rangeBetween(0, rules.wake_seconds)
     return (
-        gaps(moments)
+        gaps(_dated(moments))
         .withColumn("n_after", F.sum("n_tx").over(ahead))
         .filter((F.col("gap_seconds") > rules.dormant_days * 86400) & (F.col("n_after") >= rules.wake_tx))
         .select("card_id", "tx_ts", (F.col("gap_seconds") / F.lit(86400)).alias("gap_days"), "n_after")
@@ -95,7 +102,8 @@ def _runs(moments: DataFrame) -> DataFrame:
     so_far = _in_time().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     failed = F.col("n_errors") > 0
     return (
-        moments.withColumn("run", F.sum(C.flag(F.col("n_tx") > F.col("n_errors"))).over(so_far))
+        _dated(moments)
+        .withColumn("run", F.sum(C.flag(F.col("n_tx") > F.col("n_errors"))).over(so_far))
         .groupBy("card_id", "run")
         .agg(
             F.sum("n_errors").alias("n_errors"),
