@@ -1,10 +1,11 @@
 """Indicators per card and day, per card, and per client and card.
 
-Everything here is summed up one chain: rows -> (client, card, day, city) -> (card, day) -> card. The
-first step reads the rows once and is the only one that shuffles anything of their size, after partial
-sums per task. Distinct cities are the number of groups of the first step, so they are exact without
-gathering a set of cities anywhere, and a card that holds a large share of the rows is spread over its
-days and cities.
+Distinct cities are counted by summing twice, per card, day and city and then per card and day. So they
+are exact without gathering a set of cities anywhere, and a card that holds a large share of the rows is
+spread over its days and cities. Both steps build partial sums before they shuffle.
+
+A run that needs many of these writes the :func:`daily` table once and hands it to the others in place
+of the facts: all of them are sums of its measures.
 """
 
 from __future__ import annotations
@@ -21,18 +22,18 @@ DAILY_KEYS = ("client_id", "card_id", "tx_date", "merchant_city")
 
 
 def daily(facts: DataFrame) -> DataFrame:
-    """All measures per client, card, day and city: the table the other functions of this module need."""
+    """All measures per client, card, day and city."""
     return rollup(facts, *DAILY_KEYS)
 
 
-def card_days(daily: DataFrame) -> DataFrame:
+def card_days(facts: DataFrame) -> DataFrame:
     """All measures per card and day, with two counts of cities.
 
     ``n_cities_physical`` leaves out online purchases and is what the rules look at; ``n_cities_all``
     counts ``ONLINE`` as a city, as the score does.
     """
     city = F.col("merchant_city")
-    per_city = daily.groupBy("card_id", "tx_date", "merchant_city").agg(*totals())
+    per_city = facts.groupBy("card_id", "tx_date", "merchant_city").agg(*totals())
     return per_city.groupBy("card_id", "tx_date").agg(
         *totals(),
         F.count(city).alias("n_cities_all"),
@@ -82,10 +83,10 @@ def top_indicators(facts: DataFrame, k: int = 5) -> dict[str, DataFrame]:
     }
 
 
-def card_lifetime(daily: DataFrame) -> DataFrame:
+def card_lifetime(facts: DataFrame) -> DataFrame:
     """Transactions, net amount, distinct cities and active days of every card."""
     return (
-        daily.groupBy("card_id")
+        facts.groupBy("card_id")
         .agg(
             *totals("n_tx", "n_amount", "net_cents"),
             F.count_distinct("merchant_city").alias("n_cities"),

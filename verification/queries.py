@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,30 +42,44 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Given:
-    """The input tables of one query."""
+    """The input tables of one query; only those that are asked for are opened."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.raw = adapter.transactions(spark, sf_dir)
-        self.tx = clean(self.raw)
-        self.facts = facts(self.tx)
-        self.cards = adapter.cards(spark, sf_dir)
-        self.users = adapter.users(spark, sf_dir)
-        self.codes = adapter.codes(spark, sf_dir)
-
-    @property
-    def daily(self) -> DataFrame:
-        return indicators.daily(self.facts)
-
-    @property
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return adapter.transactions(self.spark, self.sf_dir)
+
+    @cached_property
+    def tx(self) -> DataFrame:
+        return clean(self.raw)
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return facts(self.tx)
+
+    @cached_property
+    def cards(self) -> DataFrame:
+        return adapter.cards(self.spark, self.sf_dir)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return adapter.users(self.spark, self.sf_dir)
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        return adapter.codes(self.spark, self.sf_dir)
+
+    @cached_property
     def card_days(self) -> DataFrame:
-        return indicators.card_days(self.daily)
+        return indicators.card_days(self.facts)
 
-    @property
+    @cached_property
     def moments(self) -> DataFrame:
         return sequences.moments(self.facts)
 
-    @property
+    @cached_property
     def scores(self) -> DataFrame:
         return score.risk_scores(self.card_days)
 
@@ -104,7 +119,7 @@ def inferred(g: Given) -> DataFrame:
 
 def all_features(g: Given) -> DataFrame:
     return features.transaction_features(
-        g.facts, stage(g.daily, "daily"), stage(g.moments, "moments"), g.codes, g.cards, g.users, adapter.AS_OF
+        g.facts, stage(indicators.daily(g.facts), "daily"), stage(g.moments, "moments"), g.codes, g.cards, g.users, adapter.AS_OF
     )
 
 
