@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
+FAN_OUT = 1000
 
 
 def attach(
@@ -17,28 +18,30 @@ def attach(
     groups: DataFrame,
     keys: Sequence[str],
     size: str,
+    sizes: DataFrame | None = None,
     row_id: str = "id",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left-join ``groups`` (one row per ``keys``, with its number of rows in ``size``) to ``rows``.
 
-    A plain join would send all rows of a group to one task. Groups of more than ``hot_rows`` rows are
-    therefore broadcast; there are at most ``rows / hot_rows`` of them. All other groups are joined by
-    key. In that second join the rows of hot groups, which have their values already, and the rows with a
-    NULL key, which have no group, take part under a slot made from their id, so they are spread evenly.
+    A plain join would send all rows of a group to one task. Here the rows of a group with more than
+    ``hot_rows`` rows are dealt to ``FAN_OUT`` slots by their id, and the group is repeated once per slot.
+    The list of such groups is broadcast; there are at most ``rows / hot_rows`` of them. Rows with a NULL
+    key have no group and are dealt out in the same way.
+
+    ``sizes`` is a cheaper source of ``keys`` and ``size``, if ``groups`` takes long to compute.
     """
     keys = list(keys)
     values = [name for name in groups.columns if name not in (*keys, size)]
-    packed = F.struct(*values)
-    hot = groups.filter(F.col(size) > hot_rows).select(*keys, packed.alias("_hot"))
-    others = groups.filter(F.col(size) <= hot_rows).select(
-        *keys, F.xxhash64(*keys).alias("_slot"), packed.alias("_other")
-    )
-    settled = reduce(or_, [F.col(key).isNull() for key in keys], F.col("_hot").isNotNull())
-    found = (
+    too_many = F.col(size) > hot_rows
+    hot = (groups if sizes is None else sizes).filter(too_many).select(*keys, F.lit(True).alias("_hot"))
+    slots = F.sequence(F.lit(0), F.when(too_many, F.lit(FAN_OUT - 1)).otherwise(F.lit(0)))
+    per_slot = groups.select(*keys, *values, F.explode(slots).alias("_slot"))
+    dealt = reduce(or_, [F.col(key).isNull() for key in keys], F.col("_hot").isNotNull())
+    slot = F.when(dealt, F.pmod(F.xxhash64(row_id), F.lit(FAN_OUT)).cast("int")).otherwise(F.lit(0))
+    return (
         rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("_slot", F.when(settled, F.xxhash64(row_id)).otherwise(F.xxhash64(*keys)))
-        .join(others, [*keys, "_slot"], "left")
-        .withColumn("_found", F.coalesce("_hot", "_other"))
+        .withColumn("_slot", slot)
+        .join(per_slot, [*keys, "_slot"], "left")
+        .select(*rows.columns, *values)
     )
-    return found.select(*rows.columns, *[F.col("_found").getField(name).alias(name) for name in values])

@@ -9,7 +9,7 @@ from txrisk.functions import cleaning as C
 from txrisk.functions.rounding import amount, percent
 from txrisk.operators.attach import HOT_ROWS, attach
 from txrisk.operators.cards import card_ages
-from txrisk.operators.categories import category_means, merchants
+from txrisk.operators.categories import category_risk, merchants
 from txrisk.operators.enrich import card_attributes, user_attributes, with_category
 from txrisk.operators.errors import dominant_errors
 from txrisk.operators.facts import totals
@@ -22,6 +22,10 @@ NO_TIME = -(1 << 62)
 NO_CODE = -1
 
 
+def no_day():
+    return F.lit("0001-01-01").cast("date")
+
+
 def client_means(facts: DataFrame) -> DataFrame:
     """What a client usually spends, in cents, and from how many transactions."""
     return (
@@ -84,82 +88,103 @@ def card_features(
     )
 
 
-def card_day_features(daily: DataFrame) -> DataFrame:
-    """Per card and day: transactions, physical cities, spend, and transactions of the week."""
-    per_day = card_days(daily).select(
-        "card_id",
-        "tx_date",
-        week_start().alias("week_start"),
-        F.col("n_tx").alias("tx_per_day"),
-        F.col("n_cities_physical").alias("cities_per_day"),
-        amount(F.col("pos_cents")).alias("spend_per_day"),
-    )
-    per_week = weekly_tx(daily).withColumnRenamed("n_tx", "tx_per_week")
-    return per_day.join(per_week, ["card_id", "week_start"], "left").drop("week_start")
-
-
-def _by_moment(daily: DataFrame, moments: DataFrame, per_card: DataFrame) -> DataFrame:
-    """Everything known about a card at one of its seconds; ``NO_TIME`` stands for its undated rows."""
+def card_day_features(daily: DataFrame, per_card: DataFrame) -> DataFrame:
+    """Per card and day: transactions, physical cities, spend, transactions of the week, and the card's
+    own features. Undated transactions count as a day of their own, without daily figures."""
+    per_day = card_days(daily).withColumn("week_start", week_start())
+    per_week = weekly_tx(per_day).withColumnRenamed("n_tx", "tx_per_week")
+    dated = F.col("tx_date").isNotNull()
     return (
-        gaps(moments)
+        per_day.join(per_week, ["card_id", "week_start"], "left")
         .select(
             "card_id",
-            F.coalesce("second", F.lit(NO_TIME)).alias("second"),
-            F.to_date("tx_ts").alias("tx_date"),
-            "n_tx",
-            F.when(F.col("second").isNotNull(), F.col("first_id")).alias("first_id"),
-            "gap_seconds",
+            F.coalesce("tx_date", no_day()).alias("day"),
+            F.when(dated, F.col("n_tx")).alias("tx_per_day"),
+            F.when(dated, F.col("n_cities_physical")).alias("cities_per_day"),
+            F.when(dated, amount(F.col("pos_cents"))).alias("spend_per_day"),
+            "tx_per_week",
         )
-        .join(card_day_features(daily), ["card_id", "tx_date"], "left")
         .join(per_card, "card_id", "left")
-        .drop("tx_date")
     )
 
 
-def transaction_features(
+def _timed(moments: DataFrame) -> DataFrame:
+    return moments.withColumns(
+        {"second": F.coalesce("second", F.lit(NO_TIME)), "day": F.coalesce(F.to_date("tx_ts"), no_day())}
+    )
+
+
+def _by_moment(moments: DataFrame, per_day: DataFrame) -> DataFrame:
+    """Everything known about a card at one of its seconds."""
+    look_back = F.when(F.col("tx_ts").isNotNull(), F.col("first_id")).alias("first_id")
+    return (
+        _timed(gaps(moments))
+        .select("card_id", "second", "day", F.col("n_tx").alias("moment_n_tx"), look_back, "gap_seconds")
+        .join(per_day, ["card_id", "day"], "left")
+        .drop("day")
+    )
+
+
+def _by_code(per_code: DataFrame, codes: DataFrame, rules: DecisionRules, floors: Floors) -> DataFrame:
+    risks = category_risk(per_code, codes, rules, floors).select(
+        "merchant_category",
+        F.col("mean_amount").alias("category_mean_amount"),
+        C.flag(F.col("is_high_value")).alias("is_high_value_category"),
+    )
+    sized = per_code.select(
+        "mcc", F.coalesce("mcc", F.lit(NO_CODE)).alias("code"), F.col("n_tx").alias("code_n_tx")
+    )
+    return with_category(sized, codes).join(risks, "merchant_category", "left").select(
+        "code", "code_n_tx", "category_mean_amount", "is_high_value_category"
+    )
+
+
+def feature_groups(
     facts: DataFrame,
     daily: DataFrame,
     moments: DataFrame,
+    per_code: DataFrame,
     codes: DataFrame,
     cards: DataFrame,
     users: DataFrame,
     as_of: str,
     rules: DecisionRules = DecisionRules(),
     floors: Floors = Floors(),
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Every transaction with all features.
+) -> dict[str, DataFrame]:
+    """The features of a card at a moment, of a client, of a merchant and of a category code.
 
-    The coarse features are joined to the finer ones while both are small: card and card-day features meet
-    one row per card and second. The transactions themselves are joined by card and second, by client, by
-    merchant and by code only. Hand in ``daily`` and ``moments`` as written tables on large data; they are
-    read several times.
+    The coarse ones are joined to the finer ones first: card features meet one row per card and day, and
+    those one row per card and second. ``per_code`` has the measures by ``mcc``.
+    """
+    per_card = card_features(facts, daily, moments, cards, as_of)
+    scores = user_attributes(users).select("client_id", "credit_score")
+    return {
+        "moment": _by_moment(moments, card_day_features(daily, per_card)),
+        "client": client_means(daily).join(scores, "client_id", "left"),
+        "merchant": merchants(facts).select(
+            "merchant_id",
+            F.col("n_tx").alias("merchant_n_tx"),
+            F.col("n_tx").alias("merchant_volume"),
+            F.col("error_rate").alias("merchant_error_rate"),
+        ),
+        "code": _by_code(per_code, codes, rules, floors),
+    }
+
+
+GROUP_KEYS = {
+    "moment": (["card_id", "second"], "moment_n_tx"),
+    "client": (["client_id"], "client_n_tx"),
+    "merchant": (["merchant_id"], "merchant_n_tx"),
+    "code": (["code"], "code_n_tx"),
+}
+
+
+def transaction_features(facts: DataFrame, groups: dict[str, DataFrame], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every transaction with all features, given the :func:`feature_groups`.
+
+    Hand in the groups as written tables: then the transactions are read once, joined four times, and the
+    search for groups with very many rows is a filter that the Parquet statistics answer.
     """
-    by_moment = _by_moment(daily, moments, card_features(facts, daily, moments, cards, as_of))
-    by_client = client_means(daily).join(
-        user_attributes(users).select("client_id", "credit_score"), "client_id", "left"
-    )
-    by_merchant = merchants(facts).select(
-        "merchant_id",
-        F.col("n_tx").alias("merchant_n_tx"),
-        F.col("n_tx").alias("merchant_volume"),
-        F.col("error_rate").alias("merchant_error_rate"),
-    )
-    means = category_means(facts, codes, floors).select(
-        "merchant_category",
-        F.col("mean_amount").alias("category_mean_amount"),
-        C.flag(F.col("mean_amount") > rules.high_mean_amount).alias("is_high_value_category"),
-    )
-    by_code = (
-        with_category(facts.groupBy("mcc").agg(F.sum("n_tx").alias("code_n_tx")), codes)
-        .join(means, "merchant_category", "left")
-        .select(
-            F.coalesce("mcc", F.lit(NO_CODE)).alias("code"),
-            "code_n_tx",
-            "category_mean_amount",
-            "is_high_value_category",
-        )
-    )
     rows = facts.select(
         "id",
         "client_id",
@@ -172,13 +197,8 @@ def transaction_features(
         C.flag(C.is_weekend(F.col("tx_dow"))).alias("is_weekend"),
         F.col("n_online").alias("is_online"),
     )
-    for groups, keys, size in (
-        (by_moment, ["card_id", "second"], "n_tx"),
-        (by_client, ["client_id"], "client_n_tx"),
-        (by_merchant, ["merchant_id"], "merchant_n_tx"),
-        (by_code, ["code"], "code_n_tx"),
-    ):
-        rows = attach(rows, groups, keys, size, hot_rows=hot_rows)
+    for name, (keys, size) in GROUP_KEYS.items():
+        rows = attach(rows, groups[name], keys, size, hot_rows=hot_rows)
     return rows.select(
         "id",
         "client_id",

@@ -58,7 +58,7 @@ def time_since_last(facts: DataFrame, moments: DataFrame, hot_rows: int = HOT_RO
     """Minutes since the card's previous transaction, for every transaction."""
     per_moment = gaps(moments).select("card_id", "tx_ts", "n_tx", "first_id", "gap_seconds")
     rows = facts.select("id", "card_id", "tx_ts")
-    return attach(rows, per_moment, ("card_id", "tx_ts"), "n_tx", hot_rows=hot_rows).select(
+    return attach(rows, per_moment, ("card_id", "tx_ts"), "n_tx", sizes=moments, hot_rows=hot_rows).select(
         "id", "card_id", "tx_ts", minutes_since_last().alias("minutes_since_last")
     )
 

@@ -1,14 +1,15 @@
-"""All reports of one set of input tables, from four reads of the cleaned transactions.
+"""All reports of one set of input tables, over a few shared tables.
 
 The text input is parsed once, into typed Parquet. Three tables are then summed from it and written:
-the small summary, the daily table and the moments. The reports are sums over these. What is
-read again from the transactions themselves is only what needs every row: the distinct counts, the
-median, and the enriched export.
+the small summary, the daily table and the moments. Most reports are sums over these. Only what needs
+every row reads the transactions again: the distinct counts, the column profile, the median, merchants,
+dominant errors, and the two exports of all transactions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ from txrisk.operators.summary import part, summary
 from txrisk.params import BurstRules, DecisionRules, Floors, ScoreWeights, Thresholds
 from txrisk.sources import code_maps, tables
 from txrisk.sources.parquet import write_parquet
-from txrisk.sources.workspace import stage
+from txrisk.sources.workspace import stage, stage_all
 
 
 @dataclass(frozen=True)
@@ -72,13 +73,15 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
     raw = inputs.transactions
     tx = stage(clean(raw), "transactions")
     rows = facts(tx)
-    small = stage(summary(rows), "summary")
-    daily = stage(indicators.daily(rows), "daily")
-    moments = stage(sequences.moments(rows), "moments")
-    card_days = stage(indicators.card_days(daily), "card-days")
-
+    shared = stage_all(summary=summary(rows), daily=indicators.daily(rows), moments=sequences.moments(rows))
+    small, daily, moments = shared["summary"], shared["daily"], shared["moments"]
     by_time, by_code = part(small, "time"), part(small, "code")
     by_error, by_amount = part(small, "error"), part(small, "amount")
+    groups = features.feature_groups(
+        rows, daily, moments, by_code, inputs.codes, inputs.cards, inputs.users, s.as_of, s.decisions, s.floors
+    )
+    derived = stage_all(card_days=indicators.card_days(daily), **groups)
+    card_days = derived.pop("card_days")
     scores = score.risk_scores(card_days, s.weights)
     suspicious = rules.suspicious_cards(card_days, inputs.cards, s.limits)
     named = {
@@ -124,21 +127,19 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
         "risk_scores": scores,
         "suspicious_cards": suspicious,
         "transactions_enriched": enrich.enrich(tx, inputs.codes, inputs.cards, inputs.users),
-        "transaction_features": features.transaction_features(
-            rows, daily, moments, inputs.codes, inputs.cards, inputs.users, s.as_of, s.decisions, s.floors
-        ),
+        "transaction_features": features.transaction_features(rows, derived),
     }
     tops = {f"top_{name}": frame for name, frame in indicators.top_indicators(daily).items()}
     return named | tops
 
 
-DATED = ("transactions_enriched",)
-
+def run(inputs: Inputs, settings: Settings, output: str, mode: str = "overwrite", at_once: int = 4) -> dict[str, str]:
+    """Write every report as Parquet under ``output``; returns the folder of each.
 
-def run(inputs: Inputs, settings: Settings, output: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write every report as Parquet under ``output``; returns the folder of each."""
-    folders = {}
-    for name, report in reports(inputs, settings).items():
-        folders[name] = f"{output}/{name}"
-        write_parquet(report, folders[name], mode, ["tx_date"] if name in DATED else [])
+    Most reports are small jobs over the shared tables, so a few are run at the same time.
+    """
+    named = reports(inputs, settings)
+    folders = {name: f"{output}/{name}" for name in named}
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(lambda name: write_parquet(named[name], folders[name], mode), named))
     return folders

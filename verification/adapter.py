@@ -14,8 +14,16 @@ AS_OF = "2024-01-30"
 ERRORS = ("Insufficient Balance", "Bad PIN", "Technical Glitch", "Card Expired")
 
 
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string",
+    "labels": "doc_id bigint, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def as_transactions(events: DataFrame) -> DataFrame:
@@ -96,6 +104,6 @@ def label_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.readStream.schema(table(spark, sf_dir, "events").schema)
+    events = spark.readStream.schema(SCHEMAS["events"])
     return as_transactions(events.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
 

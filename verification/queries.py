@@ -24,10 +24,10 @@ from txrisk.operators import (
     sequences,
     synthesis,
 )
-from txrisk.operators.facts import clean, facts
+from txrisk.operators.facts import clean, facts, rollup
 from txrisk.params import CARD_ERROR_BANDS, CLIENT_ERROR_BANDS, BurstRules, DecisionRules, Thresholds
 from txrisk.sources import code_maps, parquet, tables
-from txrisk.sources.workspace import new_folder, stage
+from txrisk.sources.workspace import new_folder, stage_all
 from txrisk.streaming import cards as streaming
 from verification import adapter
 
@@ -118,9 +118,11 @@ def inferred(g: Given) -> DataFrame:
 
 
 def all_features(g: Given) -> DataFrame:
-    return features.transaction_features(
-        g.facts, stage(indicators.daily(g.facts), "daily"), stage(g.moments, "moments"), g.codes, g.cards, g.users, adapter.AS_OF
+    shared = stage_all(daily=indicators.daily(g.facts), moments=g.moments, per_code=rollup(g.facts, "mcc"))
+    groups = features.feature_groups(
+        g.facts, **shared, codes=g.codes, cards=g.cards, users=g.users, as_of=adapter.AS_OF
     )
+    return features.transaction_features(g.facts, stage_all(**groups))
 
 
 def csv_roundtrip(g: Given) -> DataFrame:
