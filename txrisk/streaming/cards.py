@@ -56,6 +56,9 @@ def card_day_scores(stream: DataFrame) -> DataFrame:
 
 
 def _sliding(stream: DataFrame, measure, seconds: int, slide_seconds: int, at_least: int) -> DataFrame:
+    """Only rows that measure something are put into windows. The filter looks at the time too: otherwise
+    Spark would apply it below the watermark, and the other rows would no longer move the clock."""
+    measure = measure * C.flag(F.col("event_time").isNotNull())
     window = F.window("event_time", f"{seconds} seconds", f"{slide_seconds} seconds")
     return (
         stream.withColumn("measured", measure)
