@@ -72,6 +72,13 @@ def test_sessions_end_after_a_silence(rows, source):
     assert found == [(datetime.datetime(2024, 1, 1, 0), 2, 20.0), (datetime.datetime(2024, 1, 1, 12), 2, 15.0)]
 
 
+def test_a_silence_as_long_as_the_gap_ends_nothing(rows, source):
+    """Within a task, across tasks and across batches."""
+    together = [at(1, 0), at(1, 6), {**at(1, 0), "card_id": 2}, {**at(1, 6, 1), "card_id": 2}]
+    found = streaming.drain(streaming.sessions(source(together, [at(1, 12)], [at(4, 0)])), "t")
+    assert rows(found, "card_id", "n_tx") == [(1, 3), (2, 1), (2, 1)]
+
+
 def test_enrichment_keeps_every_row(build, rows, source):
     stream = source([{"id": 1, "mcc": 5812}], [{"id": 2, "mcc": None, "card_id": None, "date": "?"}])
     found = streaming.enriched(stream, build.codes(c5812="A"), build.cards({"id": 1, "card_type": "Debit"}), build.users())

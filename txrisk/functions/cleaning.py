@@ -40,6 +40,16 @@ def epoch_seconds(ts: Column) -> Column:
     )
 
 
+def instant(ts: Column) -> Column:
+    """A zone-less time as the TIMESTAMP that watermarks need, counted as if it were UTC."""
+    return F.timestamp_seconds(epoch_seconds(ts))
+
+
+def wall_clock(moment: Column) -> Column:
+    """The zone-less time of an :func:`instant`."""
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.unix_seconds(moment))
+
+
 def is_missing(column: Column) -> Column:
     """NULL or empty text; the cast makes the comparison legal for every type."""
     return column.isNull() | (column.cast("string") == "")

@@ -15,27 +15,37 @@ from pyspark.sql import functions as F
 
 from txrisk.functions import cleaning as C
 from txrisk.functions.rounding import amount, percent
-from txrisk.operators.facts import rollup, totals
+from txrisk.operators.facts import totals
 from txrisk.operators.ranking import top
 
 DAILY_KEYS = ("client_id", "card_id", "tx_date", "merchant_city")
+DAILY_MEASURES = (
+    "n_tx",
+    "n_amount",
+    "net_cents",
+    "n_pos",
+    "pos_cents",
+    "n_errors",
+    "n_night",
+    "n_online",
+)
 
 
 def daily(facts: DataFrame) -> DataFrame:
-    """All measures per client, card, day and city."""
-    return rollup(facts, *DAILY_KEYS)
+    """The measures of cards and clients per client, card, day and city."""
+    return facts.groupBy(*DAILY_KEYS).agg(*totals(*DAILY_MEASURES))
 
 
 def card_days(facts: DataFrame) -> DataFrame:
-    """All measures per card and day, with two counts of cities.
+    """The same measures per card and day, with two counts of cities.
 
     ``n_cities_physical`` leaves out online purchases and is what the rules look at; ``n_cities_all``
     counts ``ONLINE`` as a city, as the score does.
     """
     city = F.col("merchant_city")
-    per_city = facts.groupBy("card_id", "tx_date", "merchant_city").agg(*totals())
+    per_city = facts.groupBy("card_id", "tx_date", "merchant_city").agg(*totals(*DAILY_MEASURES))
     return per_city.groupBy("card_id", "tx_date").agg(
-        *totals(),
+        *totals(*DAILY_MEASURES),
         F.count(city).alias("n_cities_all"),
         F.count_if(C.is_physical(city)).alias("n_cities_physical"),
     )

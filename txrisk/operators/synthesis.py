@@ -93,19 +93,21 @@ def _credit(facts: DataFrame, users: DataFrame, rules: DecisionRules) -> DataFra
 
 def synthesis_metrics(
     facts: DataFrame,
+    daily: DataFrame,
     card_days: DataFrame,
     cards: DataFrame,
     users: DataFrame,
     rules: DecisionRules = DecisionRules(),
     limits: Thresholds = Thresholds(),
 ) -> DataFrame:
+    """All figures. ``daily`` may be the facts again; on large data it is the written daily table."""
     mobile = card_days.agg(F.count_if(F.col("n_cities_physical") > limits.max_cities).alias("n"))
     parts = [
         _overall(facts),
         _metrics(exact_median(facts), median_amount=F.col("median_cents") / F.lit(100)),
         _top_error_share(facts),
-        _cards(facts, cards),
+        _cards(daily, cards),
         _metrics(mobile, card_days_above_3_cities=F.col("n")),
-        _credit(facts, users, rules),
+        _credit(daily, users, rules),
     ]
     return reduce(DataFrame.unionAll, parts)

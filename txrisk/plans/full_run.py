@@ -28,6 +28,7 @@ from txrisk.operators import (
     rules,
     score,
     sequences,
+    synthesis,
 )
 from txrisk.operators.facts import clean, facts
 from txrisk.operators.summary import part, summary
@@ -124,6 +125,9 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
         "pin_lockouts": sequences.pin_lockouts(moments, s.bursts),
         "dormant_reactivations": sequences.dormant_reactivations(moments, s.bursts),
         "consecutive_errors": sequences.consecutive_errors(moments),
+        "synthesis_metrics": synthesis.synthesis_metrics(
+            rows, daily, card_days, inputs.cards, inputs.users, s.decisions, s.limits
+        ),
         "risk_scores": scores,
         "suspicious_cards": suspicious,
         "transactions_enriched": enrich.enrich(tx, inputs.codes, inputs.cards, inputs.users),

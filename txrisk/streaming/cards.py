@@ -2,7 +2,7 @@
 
 A window is reported once the watermark has passed its end, so the output is append-only and can go to
 files or a queue. Transactions later than the delay are dropped by the watermark; transactions without a
-time belong to no window. The session time zone must be UTC, because watermarks need TIMESTAMP.
+time belong to no window.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from txrisk.functions import cleaning as C
 from txrisk.functions.rounding import amount
 from txrisk.operators.enrich import card_attributes, user_attributes, with_category
 from txrisk.operators.facts import clean, facts, totals
+from txrisk.operators.indicators import DAILY_MEASURES
 from txrisk.operators.score import risk_scores
 from txrisk.params import BAD_PIN, BurstRules
 from txrisk.sources.workspace import new_folder
@@ -23,12 +24,12 @@ DELAY = "1 hour"
 
 def timed(raw: DataFrame, delay: str = DELAY) -> DataFrame:
     """Facts of a raw stream with a watermark on ``event_time``."""
-    rows = facts(clean(raw)).withColumn("event_time", F.col("tx_ts").cast("timestamp"))
+    rows = facts(clean(raw)).withColumn("event_time", C.instant(F.col("tx_ts")))
     return rows.withWatermark("event_time", delay)
 
 
 def _window_start():
-    return F.col("window.start").cast("timestamp_ntz")
+    return C.wall_clock(F.col("window.start"))
 
 
 def card_days(stream: DataFrame) -> DataFrame:
@@ -37,12 +38,12 @@ def card_days(stream: DataFrame) -> DataFrame:
     Two aggregations follow each other, as in the batch version: per card, day and city, then per card and
     day. The state holds numbers only and no set of cities.
     """
-    per_city = stream.groupBy(F.window("event_time", "1 day"), "card_id", "merchant_city").agg(*totals())
+    per_city = stream.groupBy(F.window("event_time", "1 day"), "card_id", "merchant_city").agg(*totals(*DAILY_MEASURES))
     city = F.col("merchant_city")
     return (
         per_city.groupBy("window", "card_id")
         .agg(
-            *totals(),
+            *totals(*DAILY_MEASURES),
             F.count(city).alias("n_cities_all"),
             F.count_if(C.is_physical(city)).alias("n_cities_physical"),
         )
@@ -91,7 +92,7 @@ def enriched(stream: DataFrame, codes: DataFrame, cards: DataFrame, users: DataF
 
 
 def sessions(stream: DataFrame, gap: str = "6 hours") -> DataFrame:
-    """Spells of activity of a card, ended by a silence of ``gap``.
+    """Spells of activity of a card, ended by a silence longer than ``gap``.
 
     Sessions are merged within each task before the shuffle, so that a busy card sends few rows.
     """
@@ -101,8 +102,8 @@ def sessions(stream: DataFrame, gap: str = "6 hours") -> DataFrame:
         .agg(F.sum("n_tx").alias("n_tx"), F.sum("net_cents").alias("net_cents"))
         .select(
             "card_id",
-            F.col("spell.start").cast("timestamp_ntz").alias("session_start"),
-            F.col("spell.end").cast("timestamp_ntz").alias("session_end"),
+            C.wall_clock(F.col("spell.start")).alias("session_start"),
+            C.wall_clock(F.col("spell.end")).alias("session_end"),
             "n_tx",
             amount(F.col("net_cents")).alias("amount_net"),
         )

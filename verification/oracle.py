@@ -487,7 +487,7 @@ WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= {WATERMARK}""",
         "stream_enrich": f"""{VIEWS} SELECT tc.id, card_id, category AS merchant_category, card_type, score AS credit_score
 FROM tc LEFT JOIN cards ON card_id = cards.id LEFT JOIN users ON client_id = users.id""",
         "stream_sessions": f"""{VIEWS}, marked AS (
-  SELECT card_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY card_id ORDER BY ts, id) < INTERVAL 6 HOUR
+  SELECT card_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY card_id ORDER BY ts, id) <= INTERVAL 6 HOUR
                            THEN 0 ELSE 1 END AS is_new FROM tx
 ), numbered AS (
   SELECT card_id, ts, sum(is_new) OVER (PARTITION BY card_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM marked

@@ -242,7 +242,7 @@ BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "velocity_5min": lambda g: sequences.velocity_bursts(g.moments, BURSTS),
     "pin_burst": lambda g: sequences.pin_bursts(g.moments, BURSTS),
     "dormant_reactivation": lambda g: sequences.dormant_reactivations(g.moments, BURSTS),
-    "synthesis_metrics": lambda g: synthesis.synthesis_metrics(g.facts, g.card_days, g.cards, g.users),
+    "synthesis_metrics": lambda g: synthesis.synthesis_metrics(g.facts, g.facts, g.card_days, g.cards, g.users),
     "transaction_features": all_features,
     "csv_roundtrip": csv_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
