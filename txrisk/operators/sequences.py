@@ -63,13 +63,31 @@ def time_since_last(facts: DataFrame, moments: DataFrame, hot_rows: int = HOT_RO
     )
 
 
+def _running(column: str, *order: str) -> Column:
+    """Total of ``column`` so far in the given order; each row costs one addition."""
+    so_far = Window.partitionBy("card_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.sum(column).over(so_far)
+
+
+def _event(at: Column, kind: int, change: Column) -> Column:
+    return F.struct(at.alias("at"), F.lit(kind).alias("kind"), change.cast("bigint").alias("change"))
+
+
 def trailing(moments: DataFrame, measure: str, seconds: int, at_least: int) -> DataFrame:
-    """Moments at which the last ``seconds`` (both ends included) hold enough of ``measure``."""
-    window = _in_time().rangeBetween(-seconds, 0)
+    """Moments at which the last ``seconds`` (both ends included) hold enough of ``measure``.
+
+    A window frame of that many seconds would be added up anew for every row. Instead, every moment is
+    added when it comes and taken off again when its time is over, after the moments of that second, so
+    that the running total is what is in the window.
+    """
+    here, second = F.col(measure), F.col("second")
+    events = F.array(_event(second, 0, here), _event(second + seconds, 1, -here))
     return (
         _dated(moments)
-        .select("card_id", "tx_ts", F.col(measure).alias("here"), F.sum(measure).over(window).alias("n_recent"))
-        .filter((F.col("here") > 0) & (F.col("n_recent") >= at_least))
+        .filter(here > 0)
+        .select("card_id", "tx_ts", F.inline(events))
+        .withColumn("n_recent", _running("change", "at", "kind"))
+        .filter((F.col("kind") == 0) & (F.col("n_recent") >= at_least))
         .select("card_id", "tx_ts", "n_recent")
     )
 
@@ -83,12 +101,20 @@ def pin_bursts(moments: DataFrame, rules: BurstRules = BurstRules()) -> DataFram
 
 
 def dormant_reactivations(moments: DataFrame, rules: BurstRules = BurstRules()) -> DataFrame:
-    """Moments that end a long silence of the card and begin enough transactions."""
-    ahead = _in_time().rangeBetween(0, rules.wake_seconds)
+    """Moments that end a long silence of the card and begin enough transactions.
+
+    What follows a moment is the total at the end of its time less the total before it.
+    """
+    second = F.col("second")
+    woken = F.col("gap_seconds") > rules.dormant_days * 86400
+    look_ahead = F.when(woken, _event(second + rules.wake_seconds, 1, F.lit(0)))
+    events = F.array_compact(F.array(_event(second, 0, F.col("n_tx")), look_ahead))
     return (
         gaps(_dated(moments))
-        .withColumn("n_after", F.sum("n_tx").over(ahead))
-        .filter((F.col("gap_seconds") > rules.dormant_days * 86400) & (F.col("n_after") >= rules.wake_tx))
+        .withColumn("before", _running("n_tx", "second") - F.col("n_tx"))
+        .select("card_id", "tx_ts", "gap_seconds", "before", F.inline(events))
+        .withColumn("n_after", _running("change", "at", "kind") - F.col("before"))
+        .filter((F.col("kind") == 1) & (F.col("n_after") >= rules.wake_tx))
         .select("card_id", "tx_ts", (F.col("gap_seconds") / F.lit(86400)).alias("gap_days"), "n_after")
     )
 
@@ -99,11 +125,11 @@ def _runs(moments: DataFrame) -> DataFrame:
     The number of moments with a success so far names the stretch. Grouping by card and stretch needs no
     second shuffle, because the window has already brought the card's moments together.
     """
-    so_far = _in_time().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     failed = F.col("n_errors") > 0
     return (
         _dated(moments)
-        .withColumn("run", F.sum(C.flag(F.col("n_tx") > F.col("n_errors"))).over(so_far))
+        .withColumn("success", C.flag(F.col("n_tx") > F.col("n_errors")))
+        .withColumn("run", _running("success", "second"))
         .groupBy("card_id", "run")
         .agg(
             F.sum("n_errors").alias("n_errors"),
