@@ -63,6 +63,13 @@ def test_summary_scans_once(given):
     assert plan.count("FileScan") == 1 and exchanges(summary(given.facts)) == 1
 
 
+def test_exact_statistics_scan_once(given):
+    df = amounts.amount_stats(given.facts, exact=True)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_top_k_sorts_nothing_as_a_whole(given):
     days = indicators.card_days(given.facts)
     for df in (score.top_risk_scores(score.risk_scores(days)), rules.top_suspicious_cards(given.suspicious())):

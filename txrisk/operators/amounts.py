@@ -9,30 +9,33 @@ from txrisk.functions.bands import band_label, band_order
 from txrisk.functions.rounding import amount, mean_amount, percent
 from txrisk.params import AMOUNT_BANDS, Bands
 
-CELL_CENTS = 1_000_000
+CELL_BITS = 20
 
 
-def exact_median(facts: DataFrame) -> DataFrame:
-    """The lowest positive amount that at least half of the positive amounts do not exceed.
-
-    The amounts are first counted per value. The values are then searched in two steps, per cell of
-    ``CELL_CENTS`` and inside the one cell that holds the median, so that no task has to order all of
-    them: DECIMAL(12,2) leaves at most a million cells for the first step to order, and ``CELL_CENTS``
-    values for the second.
-    """
-    per_value = (
+def _per_value(facts: DataFrame) -> DataFrame:
+    """How often each positive amount occurs."""
+    return (
         facts.filter(F.col("n_pos") > 0)
         .groupBy(F.col("pos_cents").alias("cents"))
         .agg(F.sum("n_pos").alias("n"))
-        .withColumn("cell", F.floor(F.col("cents") / CELL_CENTS).cast("bigint"))
     )
+
+
+def exact_median(facts: DataFrame) -> DataFrame:
+    """The lowest positive amount that at least half of the positive amounts do not exceed.
+
+    The amounts are first counted per value. The values are then searched in two steps, by their upper bits
+    and then by the ``CELL_BITS`` lower ones, so that no task has to order all of them: DECIMAL(12,2) leaves
+    about a million cells for the first step to order, and the one cell of the second a million values.
+    """
+    per_value = _per_value(facts).withColumn("cell", F.shiftright("cents", CELL_BITS))
     per_cell = per_value.groupBy("cell").agg(F.sum("n").alias("n_cell"))
-    in_order = Window.partitionBy(F.lit(0)).orderBy("cell")
+    everything = Window.partitionBy(F.lit(0))
     located = (
         per_cell.select(
             "cell",
-            F.sum("n_cell").over(in_order).alias("upto"),
-            F.sum("n_cell").over(Window.partitionBy(F.lit(0))).alias("n_all"),
+            F.sum("n_cell").over(everything.orderBy("cell")).alias("upto"),
+            F.sum("n_cell").over(everything).alias("n_all"),
             "n_cell",
         )
         .filter((F.col("upto") * 2 >= F.col("n_all")) & ((F.col("upto") - F.col("n_cell")) * 2 < F.col("n_all")))
@@ -48,18 +51,30 @@ def exact_median(facts: DataFrame) -> DataFrame:
 
 
 def amount_stats(facts: DataFrame, exact: bool = False) -> DataFrame:
-    """Mean, median, lowest and highest positive amount. The median is a sketch unless ``exact``."""
-    summary = facts.agg(
-        F.sum("n_pos").alias("n_pos"),
-        F.sum("pos_cents").alias("pos_cents"),
-        F.min("min_pos_cents").alias("min_cents"),
-        F.max("max_pos_cents").alias("max_cents"),
-        *([] if exact else [F.percentile_approx("min_pos_cents", 0.5).alias("median_cents")]),
-    )
+    """Mean, median, lowest and highest positive amount.
+
+    The median is a sketch unless ``exact``. Then everything comes from the count per value, which Spark
+    computes once for all three of its uses.
+    """
     if exact:
-        both = summary.unionByName(exact_median(facts), allowMissingColumns=True)
-        summary = both.agg(*[F.max(name).alias(name) for name in both.columns])
-    return summary.select(
+        cents, n = F.col("cents"), F.col("n")
+        measured = _per_value(facts).agg(
+            F.sum(n).alias("n_pos"),
+            F.sum(cents * n).alias("pos_cents"),
+            F.min(cents).alias("min_cents"),
+            F.max(cents).alias("max_cents"),
+        )
+        both = measured.unionByName(exact_median(facts), allowMissingColumns=True)
+        found = both.agg(*[F.max(name).alias(name) for name in both.columns])
+    else:
+        found = facts.agg(
+            F.sum("n_pos").alias("n_pos"),
+            F.sum("pos_cents").alias("pos_cents"),
+            F.min("min_pos_cents").alias("min_cents"),
+            F.max("max_pos_cents").alias("max_cents"),
+            F.percentile_approx("min_pos_cents", 0.5).alias("median_cents"),
+        )
+    return found.select(
         mean_amount(F.col("pos_cents"), F.col("n_pos")).alias("mean_amount"),
         amount(F.col("median_cents")).alias("median_amount"),
         amount(F.col("min_cents")).alias("min_amount"),

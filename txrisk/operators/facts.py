@@ -53,7 +53,7 @@ def facts(tx: DataFrame, high_amount: int = 200) -> DataFrame:
             "n_amount": C.flag(amount.isNotNull()),
             "net_cents": F.coalesce(in_cents, F.lit(0)),
             "n_pos": C.flag(positive),
-            "pos_cents": F.when(positive, in_cents).otherwise(F.lit(0)),
+            "pos_cents": F.coalesce(F.when(positive, in_cents), F.lit(0)),
             "n_high": C.flag(amount > high_amount),
             "n_errors": C.flag(C.has_error(F.col("errors"))),
             "n_night": C.flag(C.is_night(F.col("tx_hour"))),
@@ -72,5 +72,6 @@ def totals(*names: str) -> list:
 
 
 def rollup(rows: DataFrame, *keys: str) -> DataFrame:
-    """All measures per group; partial sums are built before the shuffle."""
-    return rows.groupBy(*keys).agg(*totals())
+    """All measures that ``rows`` has, per group; partial sums are built before the shuffle."""
+    present = [name for name in SUMMED + LOWEST + HIGHEST if name in rows.columns]
+    return rows.groupBy(*keys).agg(*totals(*present))
