@@ -24,6 +24,33 @@ SELECT conv_id, count(*) AS n_turns,
 FROM parts GROUP BY conv_id
 """
 
+OP6 = """
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w
+    FROM (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)
+), item AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, regexp_extract_all(coalesce(text, ''), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w
+    FROM (SELECT item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM benchmark)
+), item_at AS (
+    SELECT item, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i FROM item WHERE len(w) > 0
+), windows AS (
+    SELECT DISTINCT item, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS key FROM item_at
+), doc_at AS (
+    SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+), found AS (
+    SELECT r, i, windows.n AS n, item
+    FROM (SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS key FROM doc_at) AS d
+    JOIN windows ON d.n = windows.n AND d.key = windows.key
+), hits AS (
+    SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM found) GROUP BY r
+), items AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM doc LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+"""
+
 OP7 = """
 WITH sized AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS BIGINT) AS size FROM documents
@@ -91,4 +118,4 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND n =
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3, "op7_mixing": OP7, "op9_merkle_audit": OP9, "op10_exact_dedup": OP10}
+    return {"op3_chat_format": OP3, "op6_decontaminate": OP6, "op7_mixing": OP7, "op9_merkle_audit": OP9, "op10_exact_dedup": OP10}
