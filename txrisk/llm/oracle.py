@@ -24,6 +24,31 @@ SELECT conv_id, count(*) AS n_turns,
 FROM parts GROUP BY conv_id
 """
 
+OP5 = """
+WITH RECURSIVE doc AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+') AS w
+    FROM documents
+), places AS (
+    SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc WHERE len(w) > 0
+), shingle AS (
+    SELECT DISTINCT r, hash(array_to_string(list_slice(w, i, i + 3), ' ')) AS s FROM places
+), sizes AS (
+    SELECT r, count(*) AS n FROM shingle GROUP BY r
+), common AS (
+    SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.r < b.r GROUP BY ALL
+), link AS (
+    SELECT x, y FROM common JOIN sizes a ON x = a.r JOIN sizes b ON y = b.r WHERE 100 * c >= 85 * (a.n + b.n - c)
+), edge AS (
+    SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reach AS (
+    SELECT r AS x, r AS y FROM doc UNION SELECT reach.x, edge.y FROM reach JOIN edge ON reach.y = edge.x
+)
+SELECT doc.doc_id, coalesce(n, 0) AS n_shingles, min(other.doc_id) AS component_id
+FROM doc LEFT JOIN sizes USING (r) JOIN reach ON reach.x = doc.r JOIN doc other ON other.r = reach.y
+GROUP BY doc.r, doc.doc_id, n
+"""
+
 OP6 = """
 WITH doc AS (
     SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w
@@ -118,4 +143,4 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND n =
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3, "op6_decontaminate": OP6, "op7_mixing": OP7, "op9_merkle_audit": OP9, "op10_exact_dedup": OP10}
+    return {"op3_chat_format": OP3, "op5_jaccard_join": OP5, "op6_decontaminate": OP6, "op7_mixing": OP7, "op9_merkle_audit": OP9, "op10_exact_dedup": OP10}
