@@ -91,29 +91,49 @@ def prefix_of(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], simil
     return ordered[: probe + best], index + best, best
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of a set's shingles over a power of two of places, at least one for each shingle and 64 in all."""
+    places = max(64, 1 << (len(tokens) - 1).bit_length())
+    parity = np.bincount((tokens & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(a: bytes, b: bytes, both: int, similarity: tuple[int, int]) -> bool:
+    """False only if two sets of ``both`` shingles together cannot link: places whose parities differ each hold a shingle
+    that only one of the sets has. The longer sketch is folded to the length of the shorter."""
+    num, den = similarity
+    a, b = (a, b) if len(a) >= len(b) else (b, a)
+    x, bits = int.from_bytes(a, "little"), 8 * len(a)
+    while bits > 8 * len(b):
+        bits //= 2
+        x = (x >> bits) ^ (x & ((1 << bits) - 1))
+    differ = (x ^ int.from_bytes(b, "little")).bit_count()
+    return (both - differ) * (num + den) >= 2 * both * num
+
+
 def prefixes(docs: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
-    """``doc_id, node, n, matches, tokens, n_index`` per document. ``node`` is a hash of the set: documents with equal sets are
-    one node. ``tokens`` is NULL where the task has given them for the node already, or if the set is empty."""
+    """``doc_id, node, n, matches, tokens, n_index, sketch`` per document. ``node`` is a hash of the set: documents with equal sets are
+    one node. ``tokens`` and ``sketch`` are NULL where the task has given them for the node already, or if the set is empty."""
     frequent = frequent_shingles(docs, width)
     kind = dict(docs.dtypes)["doc_id"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = WordHashes(), set()
         for batch in batches:
-            nodes, sizes, matches, tokens, indexed = [], [], [], [], []
+            made: list[tuple] = []
             for found in shingle_sets(_binary(batch), width, known):
                 node = xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
-                prefix, n_index, need = (None, 0, 0)
+                row = (node, len(found), None, None, None, None)
                 if len(found) and node not in seen:
                     seen.add(node)
                     prefix, n_index, need = prefix_of(found, frequent, similarity)
-                    prefix = prefix.view(np.int64)
-                for to, value in zip((nodes, sizes, matches, tokens, indexed), (node, len(found), need, prefix, n_index)):
-                    to.append(value)
-            made = [pa.array(x, t) for x, t in zip((nodes, sizes, matches, tokens, indexed), (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32()))]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *made], ["doc_id", "node", "n", "matches", "tokens", "n_index"])
+                    row = (node, len(found), need, prefix.view(np.int64), n_index, sketch(found))
+                made.append(row)
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary())
+            columns = [pa.array([row[i] for row in made], t) for i, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", "node", "n", "matches", "tokens", "n_index", "sketch"])
 
-    schema = f"doc_id {kind}, node long, n int, matches int, tokens array<long>, n_index int"
+    schema = f"doc_id {kind}, node long, n int, matches int, tokens array<long>, n_index int, sketch binary"
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
@@ -142,26 +162,50 @@ def pair_candidates(shared: DataFrame, similarity: tuple[int, int]) -> DataFrame
     return grown.filter("c >= need").select("x", "y", "nx", "ny")
 
 
-def blocks(shared: DataFrame) -> DataFrame:
-    """``node, n, block``: the nodes of long lists, put together by their longest list and cut by number and by total size."""
+def filtered(pairs: DataFrame, rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs that their sketches do not rule out."""
+    sketches = rows.filter("sketch IS NOT NULL").select("node", "sketch").dropDuplicates(["node"])
+    x, y = (sketches.select(F.col("node").alias(k), F.col("sketch").alias(f"s{k}")) for k in "xy")
+    held = pairs.join(x, "x").join(y, "y").select("x", "y", (F.col("nx") + F.col("ny")).alias("both"), "sx", "sy")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch[c].to_pylist() for c in ("sx", "sy", "both"))
+            yield batch.select(["x", "y"]).filter(pa.array([may_link(a, b, n, similarity) for a, b, n in zip(*columns)], pa.bool_()))
+
+    return held.mapInArrow(cut, "x long, y long")
+
+
+def _numbered(nodes: DataFrame, lead: str) -> DataFrame:
+    """``node, n, block`` from ``node, n`` and a column by which nodes belong together: cut by number and total size."""
+    by_size = Window.partitionBy(lead).orderBy("n", "node")
+    nth, filled = F.floor((F.row_number().over(by_size) - 1) / BLOCK_DOCS), F.floor(F.sum("n").over(by_size) / BLOCK_SHINGLES)
+    return nodes.select("node", "n", F.xxhash64(F.lit(lead), lead, nth, filled).alias("block"))
+
+
+def list_blocks(shared: DataFrame) -> DataFrame:
+    """Blocks of the nodes of long lists, put together by their longest list."""
     lists = shared.filter(F.col("listed") > LIST)
     lead = lists.groupBy("node").agg(F.max("n").alias("n"), F.max(F.struct("listed", "token")).alias("lead"))
-    by_size = Window.partitionBy("lead").orderBy("n", "node")
-    numbered = lead.select(
-        "node", "n", "lead", F.floor((F.row_number().over(by_size) - 1) / BLOCK_DOCS).alias("nth"),
-        F.floor(F.sum("n").over(by_size) / BLOCK_SHINGLES).alias("filled"),
-    )
-    return numbered.select("node", "n", F.xxhash64("lead.token", "nth", "filled").alias("block"))
+    return _numbered(lead.select("node", "n", F.col("lead.token").alias("token")), "token")
+
+
+def pair_blocks(pairs: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks of the nodes that candidate pairs connect, and the pairs of different blocks that hold a candidate."""
+    of = stage(_numbered(components(pairs).join(sizes, "node"), "root"), "pair-blocks")
+    a, b = (of.select(F.col("node").alias(k), F.col("block").alias(to)) for k, to in (("x", "p"), ("y", "q")))
+    across = pairs.join(a, "x").join(b, "y").filter("p <> q")
+    return of, across.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
 def block_pairs(shared: DataFrame, of_node: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``a, b``, a <= b: blocks that have a long list in common and sizes that may be similar."""
+    """``a, b``, a < b: blocks that have a long list in common and sizes that may be similar."""
     num, den = similarity
     sizes = of_node.groupBy("block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     lists = shared.filter(F.col("listed") > LIST).select("token", "node").join(of_node, "node").select("token", "block").distinct()
     a = lists.select("token", F.col("block").alias("a"))
     b = lists.select("token", F.col("block").alias("b"))
-    pairs = a.join(b, (a["token"] == b["token"]) & (F.col("a") <= F.col("b"))).select("a", "b").distinct()
+    pairs = a.join(b, (a["token"] == b["token"]) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
     low, high = (sizes.select(F.col("block").alias(k), F.col("low").alias(f"low_{k}"), F.col("high").alias(f"high_{k}")) for k in "ab")
     fit = (F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
     return pairs.join(low, "a").join(high, "b").filter(fit).select("a", "b")
@@ -216,10 +260,10 @@ def _bits(needed: DataFrame) -> np.ndarray:
     return out
 
 
-def sets_of(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``node, tokens``: the whole sets of the given nodes, made again from one document of each."""
-    reps = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    reps = stage(reps, "reps")
+def sets_of(docs: DataFrame, rows: DataFrame, of_node: DataFrame, width: int) -> DataFrame:
+    """``block, node, tokens``: the whole sets of the nodes of blocks, made again from one document of each."""
+    nodes = of_node.select("node", "block").distinct()
+    reps = stage(rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "reps")
     bits = _bits(reps)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,32 +273,16 @@ def sets_of(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int) -> D
             batch = batch.filter(pa.array((bits[place >> 3] >> (place & 7)) & 1 == 1))
             found = list(shingle_sets(_binary(batch), width, known))
             nodes = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(nodes, pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
-                ["doc_id", "node", "tokens"],
-            )
-
-    kind = dict(docs.dtypes)["doc_id"]
-    placed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 25)).alias("place"))
-    made = placed.mapInArrow(make, f"doc_id {kind}, node long, tokens array<long>")
-    wanted = reps.select(F.col("node").alias("rep"), F.col("doc_id").alias("rep_id"))
-    same = (F.col("node") == F.col("rep")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))
-    return made.join(wanted, same).select("node", "tokens").dropDuplicates(["node"])
+            sets = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), sets], ["node", "tokens"])
 
-
-def verify_pairs(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """The pairs ``(x, y)`` whose whole sets link."""
-    num, den = similarity
-    x, y = (sets.select(F.col("node").alias(k), F.col("tokens").alias(f"t{k}")) for k in "xy")
-    both = pairs.join(x, "x").join(y, "y").withColumn("common", F.size(F.array_intersect("tx", "ty")))
-    return both.filter(F.col("common") * (num + den) >= (F.col("nx") + F.col("ny")) * num).select("x", "y")
+    placed = docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 25)).alias("place"))
+    made = placed.mapInArrow(make, "node long, tokens array<long>").join(nodes, "node")
+    return made.dropDuplicates(["node", "block"]).select("block", "node", "tokens")
 
 
-def verify_blocks(units: DataFrame, of_node: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Edges ``(x, y)`` that connect what links across, or within, the blocks of each unit."""
-    of = of_node.join(sets, "node").select("block", "node", "tokens")
-    first = units.join(of, units["a"] == of["block"]).select("a", "b", F.lit(0).alias("side"), "node", "tokens")
-    second = units.filter("a <> b").join(of, units["b"] == of["block"]).select("a", "b", F.lit(1).alias("side"), "node", "tokens")
+def verify(sets: DataFrame, across: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Edges ``(x, y)`` that connect what links within the blocks of ``sets`` and across the given pairs of them."""
 
     def check(unit: pa.Table) -> pa.Table:
         unit = unit.combine_chunks()
@@ -263,7 +291,12 @@ def verify_blocks(units: DataFrame, of_node: DataFrame, sets: DataFrame, similar
         pairs = np.array(linked(held, unit["side"].to_numpy(), similarity), np.int64).reshape(-1, 2)
         return pa.table({"x": nodes[pairs[:, 0]], "y": nodes[pairs[:, 1]]})
 
-    return first.union(second).groupBy("a", "b").applyInArrow(check, "x long, y long")
+    within = sets.select("block", F.lit(0).alias("side"), "node", "tokens").groupBy("block").applyInArrow(check, "x long, y long")
+    sides = [
+        across.join(sets, across[side] == sets["block"]).select("a", "b", F.lit(i).alias("side"), "node", "tokens")
+        for i, side in enumerate("ab")
+    ]
+    return within.union(sides[0].union(sides[1]).groupBy("a", "b").applyInArrow(check, "x long, y long"))
 
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -275,17 +308,17 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, similarity: tuple[int,
     document without words, or NULL, has no shingles and stands alone. Rows with equal ids are told apart by their sets.
 
     Every link is found: the prefix filter loses none, and each candidate is verified on whole sets. Equal sets are one
-    node. Pairs within long lists are never emitted: their documents are cut into blocks, pairs of blocks are
-    verified inside a task, and only the edges of a spanning forest leave it. Shingles and sets are known by 64-bit hashes.
+    node. Pairs within long lists are never emitted: their documents are cut into blocks. So are those that candidate
+    pairs connect. Blocks, and pairs of blocks, are verified inside a task, and only a spanning forest's edges leave it. Shingles and sets are known by 64-bit hashes.
     """
     rows = stage(prefixes(docs, width, similarity), "prefixes")
     shared = stage(shared_tokens(rows), "shared")
-    pairs = stage(pair_candidates(shared, similarity), "pairs")
-    of_node = stage(blocks(shared), "blocks")
-    units = stage(block_pairs(shared, of_node, similarity), "units")
-    nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).union(of_node.select("node")).distinct()
-    sets = stage(sets_of(docs, rows.select("doc_id", "node"), nodes, width), "sets")
-    edges = stage(verify_pairs(pairs, sets, similarity).union(verify_blocks(units, of_node, sets, similarity)), "links")
+    pairs = stage(filtered(pair_candidates(shared, similarity), rows, similarity), "pairs")
+    in_pairs, across_pairs = pair_blocks(pairs, rows.filter("tokens IS NOT NULL").groupBy("node").agg(F.max("n").alias("n")))
+    in_lists = stage(list_blocks(shared), "list-blocks")
+    across = stage(across_pairs.union(block_pairs(shared, in_lists, similarity)), "across")
+    sets = stage(sets_of(docs, rows.select("doc_id", "node"), in_pairs.union(in_lists), width), "sets")
+    edges = stage(verify(sets, across, similarity), "links")
     roots = components(edges)
     of = rows.select("doc_id", "node", "n").join(roots, "node", "left")
     of = stage(of.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("root", "node").alias("root")), "members")
