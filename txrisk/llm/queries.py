@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.llm import chat, decontaminate, exact_dedup, jaccard_join, language_id, mixing, quality, warc_audit
+from txrisk.llm import chat, decontaminate, exact_dedup, jaccard_join, language_id, mixing, quality, suffix_dedup, warc_audit
 from txrisk.llm.tables import fold, table
 from txrisk.sources.workspace import stage
 
@@ -49,6 +49,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as WARC records, against a replica in which one page in about a hundred, chosen by the
     MD5 of its id, is damaged: one row per record, with what the audit says of it."""
