@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.llm import chat, decontaminate, exact_dedup, jaccard_join, language_id, mixing, quality, suffix_dedup, warc_audit
+from txrisk.llm import chat, decontaminate, exact_dedup, jaccard_join, language_id, mixing, pii, quality, suffix_dedup, warc_audit
 from txrisk.llm.tables import fold, table
 from txrisk.sources.workspace import stage
 
@@ -35,6 +35,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.union(added)))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), 4, (85, 100))
 
