@@ -21,7 +21,7 @@ ANCHOR_POWER = 5
 #: Bytes of a text in which anchors are sought at a time.
 CHUNK = 1 << 20
 #: Contexts of an anchor in one part; parts of a very frequent anchor are compared two by two.
-PART = 8192
+PART = 16384
 
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -151,21 +151,29 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = _table(), set()
         for batch in batches:
-            digests, places, hashes = [], [], []
+            digests, places, hashes, sizes = [], [], [], []
             for digest, text in zip(batch["digest"].to_pylist(), batch["text"].cast(pa.large_binary())):
                 if digest not in seen:
                     seen.add(digest)
                     place, made = anchors(text.as_py(), length, table=table)
-                    digests += [digest] * len(place)
-                    places.append(place)
-                    hashes.append(made)
+                    order = np.argsort(made, kind="stable")
+                    made = made[order]
+                    first = np.flatnonzero(np.append(True, made[1:] != made[:-1]))
+                    digests += [digest] * len(first)
+                    places.append(place[order])
+                    hashes.append(made[first])
+                    sizes.append(np.diff(np.append(first, len(made))))
             if digests:
-                columns = [pa.array(np.concatenate(hashes)), pa.array(digests, pa.binary()), pa.array(np.concatenate(places).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "digest", "place"])
-
-    each = texts.mapInArrow(find, "anchor long, digest binary, place int").repartition("anchor").dropDuplicates(["anchor", "digest", "place"])
-    several = each.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).filter("n > 1")
-    of_text = several.groupBy("digest").agg(F.collect_list(F.struct("anchor", "place", "n")).alias("anchors"))
+                offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+                of_anchor = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(places).astype(np.int32)))
+                columns = [pa.array(np.concatenate(hashes)), pa.array(digests, pa.binary()), of_anchor]
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "digest", "places"])
+
+    each = texts.mapInArrow(find, "anchor long, digest binary, places array<int>").repartition("anchor").dropDuplicates(["anchor", "digest"])
+    of_anchor = Window.partitionBy("anchor")
+    counted = each.withColumns({"n": F.count("*").over(of_anchor), "all": F.sum(F.size("places")).over(of_anchor)})
+    several = counted.filter(F.col("all") > 1)
+    of_text = several.groupBy("digest").agg(F.collect_list(F.struct("anchor", "places", "n")).alias("anchors"))
     held = stage(texts.join(stage(of_text, "anchors"), "digest"), "held")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,10 +186,10 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
                 text = batch["text"][i].cast(pa.large_binary()).as_py()
                 rows: dict[tuple, list[int]] = {}
                 for a in batch["anchors"][i].as_py():
-                    p = a["place"]
-                    left, right = text[max(0, p - before) : p][::-1], text[p : p + length]
-                    if len(left) + len(right) >= length:
-                        rows.setdefault((a["anchor"], a["n"], left, right), []).append(p)
+                    for p in a["places"]:
+                        left, right = text[max(0, p - before) : p][::-1], text[p : p + length]
+                        if len(left) + len(right) >= length:
+                            rows.setdefault((a["anchor"], a["n"], left, right), []).append(p)
                 if rows:
                     keys = list(zip(*rows))
                     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
@@ -199,18 +207,21 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
-        digests: list[bytes] = []
-        spans: list[list[int]] = []
+        found: dict[bytes, list[int]] = {}  # spans of texts, put together before they are shuffled
+        size = 0
 
         def close() -> None:
-            for digest, found in _of_group(rows, length):
-                digests.append(digest)
-                spans.append(found)
+            nonlocal size
+            for digest, spans in _of_group(rows, length):
+                found.setdefault(digest, []).extend(spans)
+                size += len(spans)
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(spans, pa.list_(pa.int32()))], ["digest", "spans"])
-            digests.clear()
-            spans.clear()
+            nonlocal size
+            merged = [[x for s in _merged(list(zip(v[::2], v[1::2]))) for x in s] for v in found.values()]
+            made = pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(merged, pa.list_(pa.int32()))], ["digest", "spans"])
+            found.clear()
+            size = 0
             return made
 
         for batch in batches:
@@ -220,7 +231,7 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
                     close()
                     now, rows = (anchor, unit), []
                 rows.append(tuple(row))
-            if len(digests) > 10_000:
+            if size > 1_000_000:
                 yield out()
         close()
         yield out()
