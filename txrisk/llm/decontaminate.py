@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm.fm_index import FMIndex
+from txrisk.llm.tables import extended
 
 #: Words are runs of digits, letters a to z (of either case) and characters beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -151,9 +152,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     One pass over the documents without a shuffle. A task indexes 8 MB of text at a time. The benchmark goes to the tasks
     in parts of 32 MB, one step of the same pass for each.
     """
-    types = dict(docs.dtypes)
     parts = read_phrases(benchmark)
-    kept = [f"`{c}` {types[c]}" for c in keep]
     counts = ["n_words long", "n_hit long", "n_items long", "items_sha256 string", "contaminated boolean"]
     carried = ["spans array<array<int>>", "__items array<string>"]
     now = docs.select(*keep, "text")
@@ -189,8 +188,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
 
     for i, phrases in enumerate(parts):
         last = i == len(parts) - 1
-        schema = [*kept, *(counts + carried[:1] if last else ["text string", carried[1], carried[0]])]
-        now = now.mapInArrow(step(phrases, i == 0, last), ", ".join(schema))
+        made = counts + carried[:1] if last else ["text string", carried[1], carried[0]]
+        now = now.mapInArrow(step(phrases, i == 0, last), extended(now, keep, ", ".join(made)))
     return now
 
 

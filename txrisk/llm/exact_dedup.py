@@ -47,19 +47,9 @@ class DigestIndex:
         )
 
 
-def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """Decide for every document whether it stays.
-
-    Returns ``doc_id, keep_id, group_size, kept, text_sha256``, one row per row of ``docs`` (columns ``doc_id, text``;
-    others are ignored). Texts are equal when their SHA-256 without blanks is. In a group of equal new texts the row
-    with the most code points stays, then the smallest ``doc_id`` (NULL ids last); if several rows share that id
-    and length, all are reported as kept. ``group_size`` counts the new rows. Texts that ``index`` knows already are
-    dropped for the id it holds; the others are appended to it. NULL text is an empty one. An empty table gives no rows.
-
-    New digests are written once, 56 bytes each. The group of a text is summed before it is shuffled; a sort-merge
-    anti-join with the index finds what is new. Only groups of several rows, or known ones, are joined back to
-    the rows, where adaptive execution can split the rows of one very frequent text.
-    """
+def _decided(docs: DataFrame, index: DigestIndex | None) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, digest, n`` of the rows, and ``digest, keep_id, keep_n, group_size, told`` of the groups in which one may go. What is
+    new is appended to the index."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = stage(docs.select("doc_id", digest(F.col("text")).alias("digest"), F.length(text).alias("n")), "digested")
     first = F.min(F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
@@ -76,6 +66,23 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     )
     told = stage(fresh.filter("group_size > 1").unionByName(known), "told").withColumn("told", F.lit(True))
     index.append(fresh)
+    return rows, told
+
+
+def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+    """Decide for every document whether it stays.
+
+    Returns ``doc_id, keep_id, group_size, kept, text_sha256``, one row per row of ``docs`` (columns ``doc_id, text``;
+    others are ignored). Texts are equal when their SHA-256 without blanks is. In a group of equal new texts the row
+    with the most code points stays, then the smallest ``doc_id`` (NULL ids last); if several rows share that id
+    and length, all are reported as kept. ``group_size`` counts the new rows. Texts that ``index`` knows already are
+    dropped for the id it holds; the others are appended to it. NULL text is an empty one. An empty table gives no rows.
+
+    New digests are written once, 56 bytes each. The group of a text is summed before it is shuffled; a sort-merge
+    anti-join with the index finds what is new. Only groups of several rows, or known ones, are joined back to
+    the rows, where adaptive execution can split the rows of one very frequent text.
+    """
+    rows, told = _decided(docs, index)
     joined = rows.join(told, "digest", "left")
     alone = F.col("told").isNull()
     return joined.select(
@@ -85,3 +92,14 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
         (alone | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.coalesce(F.col("n") == F.col("keep_n"), F.lit(False)))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def keep_first(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+    """The rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns; exactly one for each text that is new. Of
+    rows that agree in id, length and text without blanks, one stays."""
+    _, told = _decided(docs, index)
+    names = {c: f"__{c}" for c in told.columns}
+    held = docs.withColumn("__key", digest(F.col("text"))).join(told.withColumnsRenamed(names), F.col("__key") == F.col("__digest"), "left")
+    is_first = F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.length(F.coalesce("text", F.lit(""))) == F.col("__keep_n"))
+    firsts = held.filter(F.col("__told") & is_first).dropDuplicates(["__key"])
+    return held.filter(F.col("__told").isNull()).union(firsts).select(*docs.columns)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from txrisk.llm.crf import ENDS, TOKENS, Labeller, Model, pieces
 from txrisk.llm.crf import train as train_crf
+from txrisk.llm.tables import extended
 
 #: The sample that the model learns from: documents of each language and sentences of each document. These bound it.
 TRAIN_DOCS = 1200
@@ -101,6 +102,4 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
             made = [pa.array(names, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(np.rint(total).astype(np.int64))]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *made], [*keep, "lang_pred", "score", "n_words"])
 
-    types = dict(kept.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in keep), "lang_pred string", "score double", "n_words long"])
-    return kept.mapInArrow(label, schema)
+    return kept.mapInArrow(label, extended(kept, keep, "lang_pred string, score double, n_words long"))

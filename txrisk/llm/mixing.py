@@ -76,7 +76,8 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED) -> DataFrame:
-    """The documents of the mix: all columns of ``docs`` and ``copy``, counted from 1, one row per copy.
+    """The documents of the mix: all columns of ``docs`` and ``copy``, counted from 1, one row per copy. If ``docs`` has a
+    column ``copy``, the new one is named ``copy_``.
 
     Rates are those of :func:`plan_mix`. They depend on the source alone, so the texts are not shuffled for them.
     """
@@ -85,9 +86,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX
         F.col("source").alias("__source"),
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("__rate"),
     )
+    name = "copy"
+    while name in docs.columns:
+        name += "_"
     extra = drawn(F.col("doc_id"), seed) < F.col("__rate") - F.floor("__rate")
     copies = (F.floor("__rate") + extra.cast("long")).cast("int")
     return (
         docs.join(goals, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__copies", copies).filter("__copies > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns, "copy")
+        .withColumn(name, F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns, name)
     )

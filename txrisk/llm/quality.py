@@ -11,6 +11,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txrisk.llm.tables import extended
+
 #: Bounds of what is learned from: labelled documents of each class, and bytes of each that make a dictionary.
 TRAIN_DOCS = 3000
 DICTIONARY_BYTES = 1 << 16
@@ -126,6 +128,4 @@ def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id
             made = [pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(gains)]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *made], [*keep, "score", "predicted", "gain"])
 
-    types = dict(kept.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in keep), "score double", "predicted int", "gain double"])
-    return kept.mapInArrow(rate, schema)
+    return kept.mapInArrow(rate, extended(kept, keep, "score double, predicted int, gain double"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,3 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fold(doc_id: str, folds: int) -> Column:
     """CRC32 of the id as text, modulo ``folds``; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string")) % folds
+
+
+def extended(rows: DataFrame, keep: tuple[str, ...], made: str) -> StructType:
+    """The schema of some columns of ``rows`` and of made ones."""
+    return StructType([*(rows.schema[c] for c in keep), *StructType.fromDDL(made).fields])
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``row``, a struct of all columns, beside ``doc_id, source, text``: operators may then add columns of any name."""
+    return docs.select(F.struct("*").alias("row"), "doc_id", "source", "text")
