@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.llm import decontaminate, exact_dedup, jaccard_join, language_id, mixing
-from txrisk.llm.tables import table, whole_rows
+from txrisk.llm.tables import flag_members, table, whole_rows
 from txrisk.sources.workspace import new_folder, stage
 
 #: A text whose best language has less than this share of its words' probability is rejected.
@@ -46,13 +46,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows that agree in id and text one stays."""
     key = F.struct("doc_id", F.md5("text").alias("md5"))
     found = stage(jaccard_join.near_duplicates(docs.select(key.alias("doc_id"), "text")), "near-copies")
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.struct("doc_id", F.md5("text")).eqNullSafe(F.col("__gone")), "left_anti")
+    gone = stage(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
     again = stage(found.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__again")), "repeated")
-    if again.isEmpty():
-        return kept
-    same = F.struct("doc_id", F.md5("text")).eqNullSafe(F.col("__again"))
-    return kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    of_row = F.struct("doc_id", F.md5("text"))
+    held = flag_members(docs, key, gone.union(again), F.col("__gone"))
+    some = held.filter("__maybe").join(gone, of_row.eqNullSafe(F.col("__gone")), "left_anti")
+    same = of_row.eqNullSafe(F.col("__again"))
+    single, repeated = some.join(again, same, "left_anti"), some.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return held.filter("NOT __maybe").union(single).union(repeated).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txrisk.llm.tables import flag_members
 from txrisk.sources.workspace import new_folder, stage
 
 #: The characters that do not count: space and U+0009 to U+000D.
@@ -96,10 +97,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
 def keep_first(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns; exactly one for each text that is new. Of
-    rows that agree in id, length and text without blanks, one stays."""
+    rows that agree in id, length and text without blanks, one stays. Only rows that may have copies are shuffled."""
     _, told = _decided(docs, index)
     names = {c: f"__{c}" for c in told.columns}
-    held = docs.withColumn("__key", digest(F.col("text"))).join(told.withColumnsRenamed(names), F.col("__key") == F.col("__digest"), "left")
+    held = flag_members(docs.withColumn("__key", digest(F.col("text"))), F.col("__key"), told, F.col("digest"))
+    some = held.filter("__maybe").join(told.withColumnsRenamed(names), F.col("__key") == F.col("__digest"), "left")
     is_first = F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.length(F.coalesce("text", F.lit(""))) == F.col("__keep_n"))
-    firsts = held.filter(F.col("__told") & is_first).dropDuplicates(["__key"])
-    return held.filter(F.col("__told").isNull()).union(firsts).select(*docs.columns)
+    firsts = some.filter(F.col("__told") & is_first).dropDuplicates(["__key"])
+    return held.filter("NOT __maybe").select(*docs.columns).union(some.filter(F.col("__told").isNull()).union(firsts).select(*docs.columns))

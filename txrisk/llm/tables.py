@@ -24,3 +24,27 @@ def extended(rows: DataFrame, keep: tuple[str, ...], made: str) -> StructType:
 def whole_rows(docs: DataFrame) -> DataFrame:
     """``row``, a struct of all columns, beside ``doc_id, source, text``: operators may then add columns of any name."""
     return docs.select(F.struct("*").alias("row"), "doc_id", "source", "text")
+
+
+#: Bits of a membership filter: 4 MB, whatever it is made from.
+FILTER_BITS = 1 << 25
+
+
+def flag_members(rows: DataFrame, key: Column, members: DataFrame, member: Column) -> DataFrame:
+    """``rows`` with a column ``__maybe`` that is false only where ``key`` is no ``member``.
+
+    A bitmap of hashes is joined to the rows: 1024 rows of 4 KB at most, so broadcasting it has a fixed bound. What is not
+    flagged needs no join with the members; when the bitmap is full, all rows are flagged and the join that follows does the work.
+    """
+
+    def place(value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(FILTER_BITS)) + 1
+
+    made = members.select(place(member).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("__bucket"))
+    bits = made.agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits"))
+    placed = rows.withColumn("__place", place(key))
+    joined = placed.join(F.broadcast(bits), F.bitmap_bucket_number("__place") == F.col("__bucket"), "left")
+    at = F.bitmap_bit_position("__place")
+    byte = F.conv(F.hex(F.substr("__bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return joined.select(*rows.columns, maybe.alias("__maybe"))
