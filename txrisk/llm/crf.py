@@ -14,7 +14,7 @@ ENDS = frozenset(".!?\n")
 #: Texts are read in pieces of about so many characters, so that a very long one needs no more memory.
 PIECE = 1 << 20
 #: Most different words whose scores a task keeps.
-CACHE = 1 << 19
+CACHE = 1 << 18
 
 
 def pieces(text: str, size: int = PIECE):
@@ -141,7 +141,7 @@ def train(chains: list[tuple[list[str], list[int]]], labels: list[str], rounds:
 class Labeller:
     """Sums the label probabilities of the words of texts, chains of many texts at a time."""
 
-    def __init__(self, model: Model, chain_words: int = 48, block_words: int = 200_000):
+    def __init__(self, model: Model, chain_words: int = 48, block_words: int = 100_000):
         self.model, self.chain_words, self.block_words = model, chain_words, block_words
         self._reset()
 

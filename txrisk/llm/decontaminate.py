@@ -22,7 +22,7 @@ WINDOW = 13
 SHARE = 20
 #: Bytes of text in a shard (a longer text is a shard of its own), of a piece that is split into words, and of benchmark
 #: texts that are searched together.
-SHARD_BYTES = 1 << 23
+SHARD_BYTES = 1 << 22
 PIECE_BYTES = 1 << 20
 PHRASE_BYTES = 1 << 25
 
@@ -149,7 +149,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     occur. A document is contaminated if ``n_hit > 0`` and ``20 * n_hit >= n_words``. NULL texts have no words. Without
     benchmark items nothing is hit.
 
-    One pass over the documents without a shuffle. A task indexes 8 MB of text at a time. The benchmark goes to the tasks
+    One pass over the documents without a shuffle. A task indexes 4 MB of text at a time. The benchmark goes to the tasks
     in parts of 32 MB, one step of the same pass for each.
     """
     parts = read_phrases(benchmark)

@@ -87,7 +87,7 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
     Every word gets label probabilities by forward-backward over its chain (a sentence, cut after 48 words); a text's
     language is the one with the largest sum, ties going to the first by name, and ``score`` its share of all. Texts that are
     NULL or have no letter, and all texts if there is no model, are ``und`` with score 0 (of 0 words). One pass without a
-    shuffle; a task holds one batch of rows and the chains of about 200,000 words.
+    shuffle; a task holds one batch of rows and the chains of about 100,000 words.
     """
     kept = docs.select(*keep, "text")
 

@@ -9,7 +9,7 @@ import xxhash
 
 PIECE_BYTES = 1 << 22
 #: Most different words whose hashes a task keeps.
-CACHE = 1 << 19
+CACHE = 1 << 18
 
 
 class WordHashes(dict):
@@ -43,7 +43,7 @@ def _mix(words: np.ndarray, starts: int, width: int) -> np.ndarray:
     return out
 
 
-def shingle_sets(texts: list[bytes], width: int, known: WordHashes, block: int = 1 << 23) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[bytes], width: int, known: WordHashes, block: int = 1 << 22) -> Iterator[np.ndarray]:
     """For every text the sorted different hashes of its ``width``-word shingles; of all words if there are fewer."""
     at = 0
     while at < len(texts):
