@@ -35,3 +35,12 @@ def test_from_text_files_to_saved_reports(spark, rows, tmp_path):
     assert sum(r[1] for r in rows(saved["category_volume"], "merchant_category", "n_tx")) <= 1000
     assert saved["population_profile"].count() == 2
     assert all(saved[name].count() > 0 for name in ("suspicious_cards", "top_cities", "category_risk", "quality"))
+
+
+def test_transactions_without_an_id(spark):
+    given = [getattr(adapter, name)(spark, SF) for name in ("transactions", "cards", "users", "codes")]
+    inputs = full_run.Inputs(given[0].drop("id"), *given[1:])
+    named = full_run.reports(inputs, full_run.Settings(as_of=adapter.AS_OF))
+    assert named["transaction_features"].select("id").distinct().count() == given[0].count()
+    assert named["transaction_features"].filter("minutes_since_last IS NOT NULL").count() > 0
+    assert named["velocity_bursts"].columns and named["type_suspects"].columns and named["schema"].count() == 9

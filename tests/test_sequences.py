@@ -198,3 +198,12 @@ def test_features_keep_every_row(build, facts, random_rows):
         assert (got["card_error_ratio"] is None) == (row["card_id"] is None)
         assert (got["amount_deviation"] is None) == (row["client_id"] is None)
         assert got["merchant_volume"] == 600
+
+
+def test_rows_without_ids_of_a_large_group_are_dealt_out(spark):
+    rows = spark.range(2000).selectExpr("id % 7 AS v", "CAST(NULL AS BIGINT) AS id", "1L AS k").repartition(8)
+    groups = spark.sql("SELECT 1L AS k, 2000L AS n, 'x' AS name")
+    joined = attach(rows, groups, ["k"], "n", hot_rows=50)
+    assert joined.filter("name = 'x'").count() == 2000
+    nobody = attach(rows.withColumn("k", F.lit(None).cast("long")), groups, ["k"], "n", hot_rows=50)
+    assert nobody.filter("name IS NULL").count() == 2000

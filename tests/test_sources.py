@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from txrisk import schemas
@@ -88,3 +89,12 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     staged = workspace.stage_all(a=spark.range(3), b=spark.range(4).withColumn("t", F.lit("x")))
     assert staged["a"].count() == 3 and staged["b"].count() == 4
     assert all(file.startswith("file://" + named) for file in staged["b"].inputFiles())
+
+
+def test_files_with_another_order_of_columns_are_refused(spark, tmp_path):
+    folder = tmp_path / "cards"
+    folder.mkdir()
+    write(folder / "a.csv", "id,client_id,card_type", "1,10,Debit")
+    write(folder / "b.csv", "client_id,id,card_type", "20,2,Credit")
+    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
+        tables.read_cards(spark, str(folder)).collect()

@@ -84,3 +84,29 @@ def test_enrichment_keeps_every_row(build, rows, source):
     found = streaming.enriched(stream, build.codes(c5812="A"), build.cards({"id": 1, "card_type": "Debit"}), build.users())
     columns = found.select("id", "merchant_category", "card_type")
     assert rows(streaming.drain(columns, "t")) == [(1, "A", "Debit"), (2, "Unknown", None)]
+
+
+def test_a_session_without_a_valid_amount_has_none(rows, source):
+    found = streaming.drain(streaming.sessions(source([{**at(1, 0), "amount": "?"}], [at(4, 0)])), "t")
+    assert rows(found, "n_tx", "amount_net") == [(1, None)]
+
+
+def test_sessions_leave_the_configuration_alone(spark, source):
+    name = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(name)
+    streaming.sessions(source([at(1, 0)]))
+    assert spark.conf.get(name) == before
+
+
+def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
+    def add(k):
+        spark.range(k, k + 1).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def drained():
+        stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+        return sorted(r.id for r in streaming.drain(stream, "t", str(tmp_path / "out")).collect())
+
+    add(1)
+    assert drained() == [1]
+    add(2)
+    assert drained() == [1, 2]

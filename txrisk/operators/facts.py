@@ -42,6 +42,12 @@ def clean(raw: DataFrame) -> DataFrame:
     )
 
 
+def with_id(tx: DataFrame) -> DataFrame:
+    """``tx`` with a number for every row if it has no column ``id``. Write the result before using it twice: the
+    numbers are only stable in a written table."""
+    return tx if "id" in tx.columns else tx.withColumn("id", F.monotonically_increasing_id())
+
+
 def facts(tx: DataFrame, high_amount: int = 200) -> DataFrame:
     """``tx`` (see :func:`clean`) with one column per measure. Unused ones are pruned by Spark."""
     amount = F.col("amount_clean")

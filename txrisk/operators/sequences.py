@@ -19,7 +19,9 @@ from txrisk.params import BAD_PIN, BurstRules
 
 
 def moments(facts: DataFrame) -> DataFrame:
-    """Per card and second: transactions, errors, wrong PINs and the lowest transaction id."""
+    """Per card and second: transactions, errors, wrong PINs and the lowest transaction id (NULL without a
+    column ``id``, which only the reports on single transactions need)."""
+    first_id = F.min("id") if "id" in facts.columns else F.lit(None).cast("bigint")
     wrong_pin = F.coalesce(F.col("errors").contains(BAD_PIN), F.lit(False))
     return (
         facts.filter(F.col("card_id").isNotNull())
@@ -27,7 +29,7 @@ def moments(facts: DataFrame) -> DataFrame:
         .agg(
             *totals("n_tx", "n_errors"),
             F.sum(C.flag(wrong_pin)).alias("n_pin"),
-            F.min("id").alias("first_id"),
+            first_id.alias("first_id"),
         )
         .withColumn("second", C.epoch_seconds(F.col("tx_ts")))
     )

@@ -76,7 +76,7 @@ class BurstRules:
     pin_seconds: int = 3600
     pin_lockout: int = 5
     dormant_days: int = 180
-    wake_tx: int = 1
+    wake_tx: int = 2  # the one that ends the silence included
     wake_seconds: int = 86400
 
 

@@ -30,9 +30,9 @@ from txrisk.operators import (
     sequences,
     synthesis,
 )
-from txrisk.operators.facts import clean, facts
+from txrisk.operators.facts import clean, facts, with_id
 from txrisk.operators.summary import part, summary
-from txrisk.params import BurstRules, DecisionRules, Floors, ScoreWeights, Thresholds
+from txrisk.params import CARD_ERROR_BANDS, CLIENT_ERROR_BANDS, BurstRules, DecisionRules, Floors, ScoreWeights, Thresholds
 from txrisk.sources import code_maps, tables
 from txrisk.sources.parquet import write_parquet
 from txrisk.sources.workspace import stage, stage_all
@@ -72,7 +72,7 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
     """Every report by name. Writes the shared tables; the reports themselves are still to be run."""
     s = settings
     raw = inputs.transactions
-    tx = stage(clean(raw), "transactions")
+    tx = stage(with_id(clean(raw)), "transactions")
     rows = facts(tx)
     shared = stage_all(summary=summary(rows), daily=indicators.daily(rows), moments=sequences.moments(rows))
     small, daily, moments = shared["summary"], shared["daily"], shared["moments"]
@@ -89,6 +89,8 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
         "volumetry": profile.volumetry(tx),
         "null_profile": profile.null_profile(tx.select(*raw.columns)),
         "quality": profile.quality(tx),
+        "type_suspects": profile.type_suspects(raw),
+        "schema": profile.describe_schema(raw),
         "amount_stats": amounts.amount_stats(rows),
         "amount_bands": amounts.amount_bands(by_amount),
         "high_amount_share": amounts.high_amount_share(by_amount),
@@ -100,6 +102,9 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
         "category_high_mean": categories.top_category_means(by_code, inputs.codes, floors=s.floors),
         "category_risk": categories.category_risk(by_code, inputs.codes, s.decisions, s.floors),
         "suspicious_merchants": categories.suspicious_merchants(rows, s.decisions),
+        "merchant_reputation": categories.merchants(rows),
+        "dominant_error": errors.dominant_errors(rows),
+        "error_concentration": errors.error_concentration(rows),
         "error_types": errors.top_error_types(by_error),
         "error_type_risk": errors.error_type_risk(by_error),
         "card_error_rate": errors.card_error_rates(daily, floors=s.floors),
@@ -115,6 +120,12 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
         "card_lifetime": indicators.card_lifetime(daily),
         "weekly_tx": indicators.weekly_tx(daily),
         "online_ratio": indicators.online_ratio(daily),
+        "suspicious_count": rules.suspicious_count(suspicious),
+        "suspicious_cards_top": rules.top_suspicious_cards(suspicious),
+        "risk_score_top": score.top_risk_scores(scores),
+        "error_streaks": sequences.error_streaks(moments),
+        "card_error_bands": errors.error_rate_bands(daily, "card_id", CARD_ERROR_BANDS),
+        "client_error_bands": errors.error_rate_bands(daily, "client_id", CLIENT_ERROR_BANDS),
         "suspicion_reasons": rules.suspicion_reasons(suspicious),
         "criteria_levels": rules.criteria_levels(suspicious),
         "risk_score_bands": score.score_bands(scores),

@@ -14,7 +14,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt:
     """CSV with a header, matched to the schema by column name.
 
     The header of the first file gives the order of the columns; that is the only thing looked at before
-    the scan. A value that does not fit its type becomes NULL, and ``keep_corrupt`` adds the whole line
+    the scan. Spark compares every other file's header with it and fails on one that has another order. A value that does not fit its type becomes NULL, and ``keep_corrupt`` adds the whole line
     of it. Spark parses only the columns a query uses, so read all of them to see all such lines.
     """
     header = spark.read.option("header", True).csv(path).columns
@@ -25,6 +25,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt:
     table = (
         spark.read.schema(ordered)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)

@@ -94,28 +94,30 @@ def enriched(stream: DataFrame, codes: DataFrame, cards: DataFrame, users: DataF
 def sessions(stream: DataFrame, gap: str = "6 hours") -> DataFrame:
     """Spells of activity of a card, ended by a silence longer than ``gap``.
 
-    Sessions are merged within each task before the shuffle, so that a busy card sends few rows.
+    Set ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` to true in the session, so
+    that sessions are merged within each task before the shuffle and a busy card sends few rows. The amount of a
+    session without a valid amount is NULL.
     """
-    stream.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         stream.groupBy(F.session_window("event_time", gap).alias("spell"), "card_id")
-        .agg(F.sum("n_tx").alias("n_tx"), F.sum("net_cents").alias("net_cents"))
+        .agg(F.sum("n_tx").alias("n_tx"), F.sum("n_amount").alias("n_amount"), F.sum("net_cents").alias("net_cents"))
         .select(
             "card_id",
             C.wall_clock(F.col("spell.start")).alias("session_start"),
             C.wall_clock(F.col("spell.end")).alias("session_end"),
             "n_tx",
-            amount(F.col("net_cents")).alias("amount_net"),
+            F.when(F.col("n_amount") > 0, amount(F.col("net_cents"))).alias("amount_net"),
         )
     )
 
 
-def drain(stream: DataFrame, name: str) -> DataFrame:
-    """Process everything the source holds now and return the table of results.
+def drain(stream: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Process everything the source holds now and return the table of all results so far.
 
-    Results and checkpoint are in the shared folder, so a restarted query goes on where it stopped.
+    Results and checkpoint are in ``folder``: the same stream drained again into the same folder goes on where it
+    stopped. Without one, a new folder is made in the shared folder and everything is processed.
     """
-    folder = new_folder(stream.sparkSession, name)
+    folder = folder or new_folder(stream.sparkSession, name)
     query = (
         stream.writeStream.format("parquet")
         .option("path", f"{folder}/table")

@@ -469,7 +469,7 @@ FROM tx JOIN usual USING (client_id)""",
          count(*) OVER ({ORDERED} RANGE BETWEEN CURRENT ROW AND 86400 FOLLOWING) AS n_after FROM tx
 )
 SELECT card_id, ts AS tx_ts, CAST(gap AS DOUBLE) / CAST(86400 AS DOUBLE) AS gap_days, n_after FROM silent
-WHERE gap > 3 * 86400 AND n_after >= 1""",
+WHERE gap > 3 * 86400 AND n_after >= 2""",
         "synthesis_metrics": synthesis(),
         "transaction_features": transaction_features(),
         "code_map_unpivot": f"{VIEWS} SELECT * FROM codes",
@@ -487,12 +487,13 @@ WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= {WATERMARK}""",
         "stream_enrich": f"""{VIEWS} SELECT tc.id, card_id, category AS merchant_category, card_type, score AS credit_score
 FROM tc LEFT JOIN cards ON card_id = cards.id LEFT JOIN users ON client_id = users.id""",
         "stream_sessions": f"""{VIEWS}, marked AS (
-  SELECT card_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY card_id ORDER BY ts, id) <= INTERVAL 6 HOUR
+  SELECT card_id, ts, cents, CASE WHEN ts - lag(ts) OVER (PARTITION BY card_id ORDER BY ts, id) <= INTERVAL 6 HOUR
                            THEN 0 ELSE 1 END AS is_new FROM tx
 ), numbered AS (
-  SELECT card_id, ts, sum(is_new) OVER (PARTITION BY card_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM marked
+  SELECT card_id, ts, cents, sum(is_new) OVER (PARTITION BY card_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM marked
 ), closed AS (
-  SELECT card_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n_tx
+  SELECT card_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n_tx,
+         {units('sum(cents)')} AS amount_net
   FROM numbered GROUP BY card_id, session
 )
 SELECT * FROM closed WHERE session_end <= {WATERMARK}""",

@@ -262,7 +262,7 @@ STREAMS: dict[str, Query] = {
             "id", "card_id", "merchant_category", "card_type", "credit_score"
         ),
     ),
-    "stream_sessions": _streamed("sessions", lambda stream, g: streaming.sessions(stream).drop("amount_net")),
+    "stream_sessions": _streamed("sessions", lambda stream, g: streaming.sessions(stream)),
 }
 
 
