@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from txrisk.operators import amounts, enrich, indicators, rules, score, sequences
 from txrisk.operators.facts import clean, facts
 from txrisk.operators.summary import summary
+from txrisk.sources.workspace import stage
 from verification import adapter
 from verification.queries import BATCH, Given, queries
 
@@ -52,10 +53,22 @@ def test_sums_are_partial_before_the_shuffle(given):
     assert plan.index("functions=[sum(") < plan.index("Exchange") < plan.index("partial_sum(")
 
 
-def test_streaks_need_no_shuffle_after_the_window(given):
-    """One exchange makes the moments, one brings a card's moments together."""
-    assert exchanges(sequences.error_streaks(given.moments)) == 2
-    assert exchanges(sequences.dormant_reactivations(given.moments)) == 2
+@pytest.mark.parametrize(
+    ("report", "carries"),
+    [
+        (sequences.gaps, 1),
+        (sequences.velocity_bursts, 1),
+        (sequences.error_streaks, 1),
+        (sequences.dormant_reactivations, 3),
+    ],
+)
+def test_only_one_row_per_day_is_ordered_by_card_alone(given, report, carries):
+    """Moments are dealt by card and day; only the sums of days are brought together by card."""
+    plan = planned(report(stage(given.moments, "moments")))
+    by_card = re.findall(r"Exchange hashpartitioning\(card_id#\d+L?, \d+\).*\n.*?([A-Z]\w+)", plan)
+    assert by_card == ["HashAggregate"] * carries
+    assert len(re.findall(r"Window \[.*\], \[card_id#\d+L?\], \[day#", plan)) == carries
+    assert not re.search(r"\], \[card_id#\d+L?\], \[(second|at)#", plan)
 
 
 def test_summary_scans_once(given):

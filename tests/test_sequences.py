@@ -207,3 +207,45 @@ def test_rows_without_ids_of_a_large_group_are_dealt_out(spark):
     assert joined.filter("name = 'x'").count() == 2000
     nobody = attach(rows.withColumn("k", F.lit(None).cast("long")), groups, ["k"], "n", hot_rows=50)
     assert nobody.filter("name IS NULL").count() == 2000
+
+
+def test_a_busy_card_is_spread_over_tasks(spark):
+    """A third of the moments belong to one card; no task has more than a few times the median of the rows."""
+    second = F.when(F.col("id") % 3 == 0, F.col("id") * 20).otherwise(F.col("id") * 20 + 7)
+    card = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997)
+    made = spark.range(90_000).select(
+        card.alias("card_id"),
+        F.timestamp_seconds(second).alias("tx_ts"),
+        second.alias("second"),
+        F.lit(1).cast("bigint").alias("n_tx"),
+        (F.col("id") % 2).alias("n_errors"),
+        F.lit(0).cast("bigint").alias("n_pin"),
+        F.col("id").alias("first_id"),
+    )
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for found in (
+            sequences.gaps(made),
+            sequences.trailing(made, "n_tx", 300, 1),
+            sequences.error_streaks(made),
+        ):
+            sizes = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+            assert sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_what_lies_before_midnight_counts(build, rows):
+    """Gaps, trailing counts, streaks and reactivations over the end of one day and several days."""
+    times = ["2024-01-01 23:58:00", "2024-01-01 23:59:30", "2024-01-02 00:00:30", "2024-01-05 12:00:00", "2024-01-05 23:59:59", "2024-01-06 00:00:00"]
+    failed = ["Bad PIN", "Bad PIN", "Bad PIN", None, "Bad PIN", "Bad PIN"]
+    given = sequences.moments(build.facts(*[{"date": d, "errors": e} for d, e in zip(times, failed)]))
+    assert [r[0] for r in rows(sequences.gaps(given), "gap_seconds")] == [None, 1, 60, 90, 43199, 302370]
+    assert [r[0] for r in rows(sequences.trailing(given, "n_tx", 150, 1), "n_recent")] == [1, 1, 1, 2, 2, 3]
+    assert [r[0] for r in rows(sequences.error_streaks(given), "n_errors")] == [2, 3]
+    woken = sequences.dormant_reactivations(given, BurstRules(dormant_days=3, wake_seconds=43200, wake_tx=2))
+    assert [r[0] for r in rows(woken, "n_after")] == [3]

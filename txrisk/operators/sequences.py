@@ -1,15 +1,16 @@
 """What a card does in the order of time.
 
-The rows are first reduced to *moments*: one row per card and second, summed before the shuffle. A card
-has at most as many moments as the covered period has seconds, however many rows it has, and that is what
-bounds every window below. Transactions of the same second are taken as: successes first, then errors.
-Rows without a card belong to no sequence. The undated rows of a card share one moment without a time,
-which only :func:`gaps` keeps.
+The rows are first reduced to *moments*: one row per card and second, summed before the shuffle. Windows over
+moments are cut by card and day, so that one holds at most 86,400 of them (twice that in :func:`trailing`)
+however busy the card is. What is carried into a day comes from one small row per card and day, over which a
+second window runs, and is joined back by card and day. Transactions of the same second are taken as: successes
+first, then errors. Rows without a card belong to no sequence. The undated rows of a card share one moment
+without a time, which only :func:`gaps` keeps.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from txrisk.functions import cleaning as C
@@ -17,6 +18,8 @@ from txrisk.operators.attach import HOT_ROWS, attach
 from txrisk.operators.facts import totals
 from txrisk.params import BAD_PIN, BurstRules
 
+DAY_SECONDS = 86400
+
 
 def moments(facts: DataFrame) -> DataFrame:
     """Per card and second: transactions, errors, wrong PINs and the lowest transaction id (NULL without a
@@ -39,14 +42,29 @@ def _dated(moments: DataFrame) -> DataFrame:
     return moments.filter(F.col("second").isNotNull())
 
 
-def _in_time():
-    return Window.partitionBy("card_id").orderBy("second")
+def _day(second: str) -> Column:
+    return F.floor(F.col(second) / DAY_SECONDS)
+
+
+def _in_day(*order: str) -> WindowSpec:
+    return Window.partitionBy("card_id", "day").orderBy(*order)
+
+
+def _over_days() -> WindowSpec:
+    """The days of a card: one row each."""
+    return Window.partitionBy("card_id").orderBy("day")
 
 
 def gaps(moments: DataFrame) -> DataFrame:
-    """Seconds since the card's previous moment; NULL for its first one and for undated rows, which sort
-    before it."""
-    return moments.withColumn("gap_seconds", F.col("second") - F.lag("second").over(_in_time()))
+    """Seconds since the card's previous moment; NULL for its first one and for undated rows."""
+    by_day = moments.withColumn("day", _day("second"))
+    last = by_day.filter(F.col("day").isNotNull()).groupBy("card_id", "day").agg(F.max("second").alias("last"))
+    carried = last.select("card_id", "day", F.lag("last").over(_over_days()).alias("day_before"))
+    return (
+        by_day.withColumn("before", F.lag("second").over(_in_day("second")))
+        .join(carried, ["card_id", "day"], "left")
+        .select(*moments.columns, (F.col("second") - F.coalesce("before", "day_before")).alias("gap_seconds"))
+    )
 
 
 def minutes_since_last() -> Column:
@@ -65,10 +83,21 @@ def time_since_last(facts: DataFrame, moments: DataFrame, hot_rows: int = HOT_RO
     )
 
 
-def _running(column: str, *order: str) -> Column:
-    """Total of ``column`` so far in the given order; each row costs one addition."""
-    so_far = Window.partitionBy("card_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.sum(column).over(so_far)
+def _running(rows: DataFrame, measure: str, name: str, *order: str) -> DataFrame:
+    """``rows`` with ``name``, the card's total of ``measure`` so far in the given order, which begins with a second.
+
+    Each row costs one addition: the total within its day is added to that of the days before.
+    """
+    by_day = rows.withColumn("day", _day(order[0]))
+    so_far = _in_day(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = _over_days().rowsBetween(Window.unboundedPreceding, -1)
+    days = by_day.groupBy("card_id", "day").agg(F.sum(measure).alias("of_day"))
+    carried = days.select("card_id", "day", F.coalesce(F.sum("of_day").over(earlier), F.lit(0)).alias("carried"))
+    return (
+        by_day.withColumn("within", F.sum(measure).over(so_far))
+        .join(carried, ["card_id", "day"])
+        .select(*rows.columns, (F.col("within") + F.col("carried")).alias(name))
+    )
 
 
 def _event(at: Column, kind: int, change: Column) -> Column:
@@ -79,16 +108,14 @@ def trailing(moments: DataFrame, measure: str, seconds: int, at_least: int) -> D
     """Moments at which the last ``seconds`` (both ends included) hold enough of ``measure``.
 
     A window frame of that many seconds would be added up anew for every row. Instead, every moment is
-    added when it comes and taken off again when its time is over, after the moments of that second, so
-    that the running total is what is in the window.
+    added when it comes and taken off again when its time is over, after the moments of that second and on the
+    day on which it falls, so that the running total is what is in the window.
     """
     here, second = F.col(measure), F.col("second")
     events = F.array(_event(second, 0, here), _event(second + seconds, 1, -here))
+    changes = _dated(moments).filter(here > 0).select("card_id", "tx_ts", F.inline(events))
     return (
-        _dated(moments)
-        .filter(here > 0)
-        .select("card_id", "tx_ts", F.inline(events))
-        .withColumn("n_recent", _running("change", "at", "kind"))
+        _running(changes, "change", "n_recent", "at", "kind")
         .filter((F.col("kind") == 0) & (F.col("n_recent") >= at_least))
         .select("card_id", "tx_ts", "n_recent")
     )
@@ -105,33 +132,35 @@ def pin_bursts(moments: DataFrame, rules: BurstRules = BurstRules()) -> DataFram
 def dormant_reactivations(moments: DataFrame, rules: BurstRules = BurstRules()) -> DataFrame:
     """Moments that end a long silence of the card and begin enough transactions.
 
-    What follows a moment is the total at the end of its time less the total before it.
+    What follows a moment is the total at the end of its time less the total before it. Both are read off one
+    running total, at the moment's own event and at one that ends its time; few moments have the latter.
     """
     second = F.col("second")
-    woken = F.col("gap_seconds") > rules.dormant_days * 86400
+    woken = F.col("gap_seconds") > rules.dormant_days * DAY_SECONDS
     look_ahead = F.when(woken, _event(second + rules.wake_seconds, 1, F.lit(0)))
     events = F.array_compact(F.array(_event(second, 0, F.col("n_tx")), look_ahead))
+    changes = gaps(_dated(moments)).select("card_id", "tx_ts", "gap_seconds", woken.alias("woken"), F.inline(events))
+    at_end = F.max(F.when(F.col("kind") == 1, F.col("total")))
+    before = F.max(F.when(F.col("kind") == 0, F.col("total") - F.col("change")))
     return (
-        gaps(_dated(moments))
-        .withColumn("before", _running("n_tx", "second") - F.col("n_tx"))
-        .select("card_id", "tx_ts", "gap_seconds", "before", F.inline(events))
-        .withColumn("n_after", _running("change", "at", "kind") - F.col("before"))
-        .filter((F.col("kind") == 1) & (F.col("n_after") >= rules.wake_tx))
-        .select("card_id", "tx_ts", (F.col("gap_seconds") / F.lit(86400)).alias("gap_days"), "n_after")
+        _running(changes, "change", "total", "at", "kind")
+        .filter("woken")
+        .groupBy("card_id", "tx_ts")
+        .agg((F.max("gap_seconds") / F.lit(DAY_SECONDS)).alias("gap_days"), (at_end - before).alias("n_after"))
+        .filter(F.col("n_after") >= rules.wake_tx)
     )
 
 
 def _runs(moments: DataFrame) -> DataFrame:
     """Stretches of a card between two successes; a stretch without errors has length 0.
 
-    The number of moments with a success so far names the stretch. Grouping by card and stretch needs no
-    second shuffle, because the window has already brought the card's moments together.
+    The number of moments with a success so far names the stretch. A stretch may last many days, so its moments
+    are summed per day before they are brought together.
     """
     failed = F.col("n_errors") > 0
+    marked = _dated(moments).withColumn("success", C.flag(F.col("n_tx") > F.col("n_errors")))
     return (
-        _dated(moments)
-        .withColumn("success", C.flag(F.col("n_tx") > F.col("n_errors")))
-        .withColumn("run", _running("success", "second"))
+        _running(marked, "success", "run", "second")
         .groupBy("card_id", "run")
         .agg(
             F.sum("n_errors").alias("n_errors"),
