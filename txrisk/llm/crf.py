@@ -103,8 +103,8 @@ def train(chains: list[tuple[list[str], list[int]]], labels: list[str], rounds:
     types = {w: i for i, w in enumerate(counts)}
     seen = Counter(f for w in types for f in features(w) if f[:1] != "=")
     seen.update({f"={w}": n for w, n in counts.items()})
-    index = {f: i for i, f in enumerate(f for f, n in seen.items() if n > 1)}
-    of = [[index[f] for f in features(w) if f in index] or [index.setdefault("", len(index))] for w in types]
+    index = {f: i for i, f in enumerate(["", *(f for f, n in seen.items() if n > 1 and f)])}
+    of = [[index[f] for f in features(w) if f in index] for w in types]
     flat, ends = np.fromiter((i for x in of for i in x), np.int64), np.cumsum([len(x) for x in of])
     begins, owner = ends - [len(x) for x in of], np.repeat(np.arange(len(of)), [len(x) for x in of])
     ids = np.fromiter((types[w] for words, _ in chains for w in words), np.int64)
