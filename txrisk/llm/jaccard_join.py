@@ -19,7 +19,7 @@ WORDS = 5
 #: Documents link when ``similarity[1] * intersection >= similarity[0] * union``.
 SIMILARITY = (80, 100)
 #: Shingles a task counts at a time, the local and total counts from which a shingle is frequent, and how many are kept.
-COUNTED = 1 << 20
+COUNTED = 1 << 21
 LOCAL, FREQUENT, KEPT = 3, 16, 50_000
 #: Longest requirement of shared prefix shingles.
 MOST_MATCHES = 4
