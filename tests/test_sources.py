@@ -69,6 +69,22 @@ def test_fraud_labels(spark, tmp_path, rows):
     assert rows(code_maps.read_fraud_labels(spark, nested, field="target")) == expected
 
 
+def test_one_large_label_file_is_read_by_several_tasks(spark, tmp_path):
+    pairs = [f'"{i}": "{"No" if i % 3 else "Yes"}"' for i in range(3000)]
+    path = write(tmp_path / "labels.json", '{"target": {', ",\n".join(pairs), "}}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        found = code_maps.read_label_pairs(spark, path).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r["transaction_id"], r["is_fraud"]) for r in found) == [(i, i % 3 == 0) for i in range(3000)]
+    assert len({r["task"] for r in found}) > 3
+    odd = write(tmp_path / "odd.json", '{"x": "Yes"}')
+    assert [tuple(r) for r in code_maps.read_label_pairs(spark, odd).collect()] == [(None, True)]
+    assert code_maps.read_label_pairs(spark, write(tmp_path / "none.json", "{}")).isEmpty()
+
+
 def test_parquet_modes_and_folders(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", [1]), (2, "b", [])], "risk_score int, day string, reasons array<int>")
     path = str(tmp_path / "out")

@@ -21,16 +21,18 @@ def suspect_clients(facts: DataFrame, suspicious: DataFrame) -> DataFrame:
 def population_profile(facts: DataFrame, suspicious: DataFrame, users: DataFrame) -> DataFrame:
     """Two rows, also when one side is empty. Transactions without a client count as normal.
 
-    The means are over transactions. They are computed from one row per client, weighted by the
-    client's transactions, so neither the client list nor the client table meets the rows.
+    The means are over transactions. The rows are summed once, by client and card, and these sums by client. The means
+    are of one row per client, weighted by the client's transactions, so neither list nor client table meets the rows.
     """
-    n = F.col("n_tx")
+    n, measures = F.col("n_tx"), totals("n_tx", "n_amount", "net_cents")
+    is_suspect = F.col("client_id").isNotNull() & F.col("suspect").isNotNull()
     clients = (
-        facts.groupBy("client_id")
-        .agg(*totals("n_tx", "n_amount", "net_cents"))
-        .join(suspect_clients(facts, suspicious).withColumn("client_type", F.lit(SUSPECT)), "client_id", "left")
+        facts.groupBy("client_id", "card_id").agg(*measures)
+        .join(suspicious.select("card_id", F.lit(True).alias("suspect")), "card_id", "left")
+        .groupBy("client_id").agg(*measures, F.max("suspect").alias("suspect"))
+        .withColumn("client_type", F.when(is_suspect, SUSPECT))
         .join(user_attributes(users), "client_id", "left")
-    )
+    )
 
     def weighted(column):
         return F.sum(column * n), F.sum(F.when(column.isNotNull(), n))

@@ -43,6 +43,22 @@ def read_mcc_codes(spark: SparkSession, path: str, one_per_file: bool = True) ->
     return code_rows(read_objects(spark, path, one_per_file))
 
 
+#: A key and its label, at the end of what stands between two commas.
+PAIR = r'"([^"]*)"\s*:\s*"([^"]*)"[\s}]*$'
+
+
+def read_label_pairs(spark: SparkSession, path: str, positive: str = "Yes") -> DataFrame:
+    """The rows of :func:`label_rows` from files of any size, each an object that holds labels only (also nested).
+
+    The text is cut at commas, which labels don't contain, so Spark splits a large file among tasks.
+    """
+    pieces = spark.read.option("lineSep", ",").text(path).filter(F.col("value").rlike(PAIR))
+    return pieces.select(
+        F.regexp_extract("value", PAIR, 1).try_cast("bigint").alias("transaction_id"),
+        (F.regexp_extract("value", PAIR, 2) == positive).alias("is_fraud"),
+    )
+
+
 def read_fraud_labels(
     spark: SparkSession,
     path: str,

@@ -354,6 +354,11 @@ FROM tc GROUP BY category"""
     ratios = f"""SELECT card_id, count(*) AS n_tx, {big('sum(err)')} AS n_errors, {pct('sum(err)', 'count(*)')} AS error_ratio
 FROM tx GROUP BY card_id"""
     score_rows = f"SELECT {SCORE_COLUMNS}, {big('score')} AS risk_score FROM scores"
+    enriched = f"""{VIEWS} SELECT tc.id, client_id, card_id, {units('cents')} AS amount, category AS merchant_category,
+card_brand, card_type, dark AS card_on_dark_web, {units('limit_cents')} AS credit_limit, has_chip,
+{integer('pin_year')} AS year_pin_last_changed, {integer('age')} AS current_age, gender, score AS credit_score,
+CAST(income AS DOUBLE) AS yearly_income, {integer('n_cards')} AS num_credit_cards
+FROM tc LEFT JOIN cards ON card_id = cards.id LEFT JOIN users ON client_id = users.id"""
     return {
         "volumetry": f"""{VIEWS} SELECT count(*) AS n_tx, count(DISTINCT client_id) AS n_clients,
 count(DISTINCT card_id) AS n_cards, count(DISTINCT merchant_id) AS n_merchants,
@@ -410,11 +415,7 @@ FROM typed GROUP BY card_type""",
         "pin_recency": f"""{VIEWS} SELECT id AS card_id, {integer('2024 - pin_year')} AS pin_age_years FROM cards""",
         "new_card_burst": f"{IN_USE} SELECT card_id, n_tx, {integer('age')} AS card_age_days FROM used WHERE age < 30 AND n_tx >= 10",
         "stale_pin": f"{IN_USE} SELECT card_id, n_tx, {integer('pin_age')} AS pin_age_years FROM used WHERE pin_age >= 10",
-        "enriched": f"""{VIEWS} SELECT tc.id, client_id, card_id, {units('cents')} AS amount, category AS merchant_category,
-card_brand, card_type, dark AS card_on_dark_web, {units('limit_cents')} AS credit_limit, has_chip,
-{integer('pin_year')} AS year_pin_last_changed, {integer('age')} AS current_age, gender, score AS credit_score,
-CAST(income AS DOUBLE) AS yearly_income, {integer('n_cards')} AS num_credit_cards
-FROM tc LEFT JOIN cards ON card_id = cards.id LEFT JOIN users ON client_id = users.id""",
+        "enriched": enriched,
         "card_day_tx": f"{VIEWS} {day_tx}",
         "card_day_tx_top": f"{VIEWS} {day_tx} ORDER BY n_tx DESC, card_id, tx_date LIMIT 5",
         "card_day_spend": f"{VIEWS} {day_spend}",
@@ -434,7 +435,7 @@ FROM tx GROUP BY 1, 2""",
         "suspicious_cards_top": f"{FLAGGED} SELECT * FROM susp ORDER BY n_rule_hits DESC, card_id LIMIT 20",
         "suspicious_count": f"{FLAGGED} SELECT count(*) AS n_cards FROM susp",
         "suspicion_reasons": f"{FLAGGED} SELECT reason, count(DISTINCT card_id) AS n_cards FROM hits GROUP BY reason",
-        "criteria_levels": f"""{FLAGGED} SELECT card_id, n_criteria,
+        "criteria_levels": f"""{FLAGGED} SELECT *,
 {level('n_criteria', (2, 3, 4), ('low', 'medium', 'high', 'critical'))} AS level,
 {level('n_criteria', (2, 3, 4), ('watch', 'alert analyst', 'temporary block', 'block'))} AS action FROM susp""",
         "risk_score_card_day": f"{VIEWS} {score_rows}",
@@ -477,15 +478,22 @@ WHERE gap > 3 * 86400 AND n_after >= 2""",
         "csv_roundtrip": f"""{VIEWS} SELECT id, ts AS tx_ts, client_id, card_id, {units('cents')} AS amount, merchant_id,
 city AS merchant_city, zip, mcc, nullif(errors, '') AS errors FROM tx""",
         "parquet_roundtrip": f"{VIEWS} {score_rows} WHERE score > 50",
-        "suspicious_cards_saved": f"{FLAGGED} SELECT card_id, reasons, n_rule_hits FROM susp",
+        "codes_file": f"{VIEWS} SELECT * FROM codes",
+        "labels_file": "SELECT doc_id AS transaction_id, toxic = 1 AS is_fraud FROM labels",
+        "cards_csv": f"""{VIEWS} SELECT id, card_brand, card_type, has_chip,
+'$' || (limit_cents // 100) || '.' || lpad(CAST(limit_cents % 100 AS VARCHAR), 2, '0') AS credit_limit,
+strftime(opened, '%m/%Y') AS acct_open_date, {integer('pin_year')} AS year_pin_last_changed, dark AS card_on_dark_web FROM cards""",
+        "users_csv": f"""{VIEWS} SELECT id, {integer('age')} AS current_age, gender, '$' || income AS yearly_income,
+score AS credit_score, {integer('n_cards')} AS num_credit_cards FROM users""",
+        "scores_appended": f"{VIEWS} {score_rows}",
+        "suspicious_cards_saved": f"{FLAGGED} SELECT * FROM susp",
         "enriched_saved": f"""{VIEWS} SELECT day AS tx_date, category AS merchant_category, count(*) AS n_tx,
 {units('sum(cents)')} AS amount_net FROM tc GROUP BY 1, 2""",
         "stream_card_day": f"""{VIEWS} SELECT {SCORE_COLUMNS} FROM carddays
 WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= {WATERMARK}""",
         "stream_velocity": sliding("1", 5, 1, 2),
         "stream_pin_burst": sliding("pin", 60, 10, 2),
-        "stream_enrich": f"""{VIEWS} SELECT tc.id, card_id, category AS merchant_category, card_type, score AS credit_score
-FROM tc LEFT JOIN cards ON card_id = cards.id LEFT JOIN users ON client_id = users.id""",
+        "stream_enrich": enriched,
         "stream_sessions": f"""{VIEWS}, marked AS (
   SELECT card_id, ts, cents, CASE WHEN ts - lag(ts) OVER (PARTITION BY card_id ORDER BY ts, id) <= INTERVAL 6 HOUR
                            THEN 0 ELSE 1 END AS is_new FROM tx

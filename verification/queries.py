@@ -153,7 +153,40 @@ def parquet_roundtrip(g: Given) -> DataFrame:
 def suspicious_saved(g: Given) -> DataFrame:
     folder = new_folder(g.spark, "suspicious-cards")
     parquet.write_parquet(g.suspicious(), folder)
-    return joined(g.spark.read.parquet(folder)).select("card_id", "reasons", "n_rule_hits")
+    return joined(g.spark.read.parquet(folder))
+
+
+def scores_appended(g: Given) -> DataFrame:
+    folder, even = new_folder(g.spark, "risk-scores"), F.col("card_id") % 2 == 0
+    parquet.write_parquet(g.scores.filter(even), folder)
+    parquet.write_parquet(g.scores.filter(~even), folder, mode="append")
+    return parquet.read_scores(g.spark, folder)
+
+
+def cards_csv(g: Given) -> DataFrame:
+    folder = new_folder(g.spark, "cards")
+    g.cards.write.option("header", True).csv(folder)
+    return tables.read_cards(g.spark, folder)
+
+
+def users_csv(g: Given) -> DataFrame:
+    folder = new_folder(g.spark, "users")
+    g.users.write.option("header", True).csv(folder)
+    return tables.read_users(g.spark, folder)
+
+
+def codes_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code objects written as text, one per line, and read from there."""
+    folder = new_folder(spark, "codes")
+    adapter.code_objects(spark, sf_dir).write.text(folder)
+    return code_maps.read_mcc_codes(spark, folder, one_per_file=False)
+
+
+def labels_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels written as pairs that commas separate, as inside one object, and read from there."""
+    folder = new_folder(spark, "labels")
+    adapter.label_objects(spark, sf_dir).select(F.btrim("value", F.lit("{}"))).write.option("lineSep", ",").text(folder)
+    return code_maps.read_label_pairs(spark, folder)
 
 
 def enriched_saved(g: Given) -> DataFrame:
@@ -227,7 +260,7 @@ BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "suspicious_cards_top": lambda g: joined(rules.top_suspicious_cards(g.suspicious())),
     "suspicious_count": lambda g: rules.suspicious_count(g.suspicious()),
     "suspicion_reasons": lambda g: rules.suspicion_reasons(g.suspicious()),
-    "criteria_levels": lambda g: rules.criteria_levels(g.suspicious()).drop("reasons", "n_rule_hits"),
+    "criteria_levels": lambda g: joined(rules.criteria_levels(g.suspicious())),
     "risk_score_card_day": lambda g: g.scores,
     "risk_score_top": lambda g: score.top_risk_scores(g.scores),
     "risk_score_bands": lambda g: score.score_bands(g.scores),
@@ -246,6 +279,9 @@ BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "transaction_features": all_features,
     "csv_roundtrip": csv_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
+    "scores_appended": scores_appended,
+    "cards_csv": cards_csv,
+    "users_csv": users_csv,
     "suspicious_cards_saved": suspicious_saved,
     "enriched_saved": enriched_saved,
 }
@@ -258,9 +294,7 @@ STREAMS: dict[str, Query] = {
     "stream_pin_burst": _streamed("pins", lambda stream, g: streaming.pin_alerts(stream, STREAM_BURSTS)),
     "stream_enrich": _streamed(
         "enriched",
-        lambda stream, g: streaming.enriched(stream, g.codes, g.cards, g.users).select(
-            "id", "card_id", "merchant_category", "card_type", "credit_score"
-        ),
+        lambda stream, g: enriched_columns(streaming.enriched(stream, g.codes, g.cards, g.users)),
     ),
     "stream_sessions": _streamed("sessions", lambda stream, g: streaming.sessions(stream)),
 }
@@ -274,5 +308,7 @@ def queries() -> dict[str, Query]:
     sources: dict[str, Query] = {
         "code_map_unpivot": lambda spark, sf: code_maps.code_rows(adapter.code_objects(spark, sf)),
         "fraud_labels": lambda spark, sf: code_maps.label_rows(adapter.label_objects(spark, sf)),
+        "codes_file": codes_file,
+        "labels_file": labels_file,
     }
     return {name: _on_given(build) for name, build in BATCH.items()} | sources | STREAMS
