@@ -27,6 +27,15 @@ def top_error_types(facts: DataFrame, k: int = 10, split_errors: bool = False) -
     return top(error_types(facts, split_errors), k, "n_tx", "errors")
 
 
+def top_error_type(facts: DataFrame) -> DataFrame:
+    """The most frequent error text (the first by name of equals), its transactions and its share of all failed ones; no
+    row without errors."""
+    first = F.min(F.struct((-F.col("n_tx")).alias("n"), "errors"))
+    found = error_types(facts).agg(first.alias("first"), F.sum("n_tx").alias("n_all")).filter("first IS NOT NULL")
+    n = -F.col("first.n")
+    return found.select("first.errors", n.alias("n_tx"), percent(n, F.col("n_all")).alias("error_share"))
+
+
 def error_type_risk(facts: DataFrame) -> DataFrame:
     """Every error text with what it says about the transaction; unlisted texts are unknown."""
     risk = F.create_map(*[F.lit(part) for pair in ERROR_RISK.items() for part in pair])

@@ -106,6 +106,7 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
         "dominant_error": errors.dominant_errors(rows),
         "error_concentration": errors.error_concentration(rows),
         "error_types": errors.top_error_types(by_error),
+        "top_error_type": errors.top_error_type(by_error),
         "error_type_risk": errors.error_type_risk(by_error),
         "card_error_rate": errors.card_error_rates(daily, floors=s.floors),
         "client_error_rate": errors.client_error_rates(daily, floors=s.floors),

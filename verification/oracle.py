@@ -386,6 +386,8 @@ FROM tx WHERE cents > 0 GROUP BY 1, 2""",
         "merchant_reputation": f"{MERCHANTS} SELECT * FROM shops",
         "suspicious_merchants": f"{MERCHANTS} SELECT * FROM shops WHERE n_tx <= 95 AND mean_amount > 200",
         "error_types": f"{ERROR_TYPES} SELECT * FROM types ORDER BY n_tx DESC, errors LIMIT 10",
+        "top_error_type": f"""{ERROR_TYPES} SELECT errors, n_tx, {pct('n_tx', 'CAST((SELECT sum(n_tx) FROM types) AS BIGINT)')} AS error_share
+FROM types ORDER BY n_tx DESC, errors LIMIT 1""",
         "error_type_risk": f"""{ERROR_TYPES} SELECT errors, n_tx, CASE errors WHEN 'Bad PIN' THEN 'suspect'
 WHEN 'Technical Glitch' THEN 'watch' ELSE 'normal' END AS risk FROM types""",
         "card_error_rate": f"{VIEWS} {error_rates('card_id', 50)} ORDER BY error_rate DESC, card_id LIMIT 10",

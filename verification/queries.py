@@ -226,6 +226,7 @@ BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "merchant_reputation": lambda g: categories.merchants(g.facts),
     "suspicious_merchants": lambda g: categories.suspicious_merchants(g.facts, DECISIONS),
     "error_types": lambda g: errors.top_error_types(g.facts),
+    "top_error_type": lambda g: errors.top_error_type(g.facts),
     "error_type_risk": lambda g: errors.error_type_risk(g.facts),
     "card_error_rate": lambda g: errors.card_error_rates(g.facts),
     "client_error_rate": lambda g: errors.client_error_rates(g.facts),
