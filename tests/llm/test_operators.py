@@ -250,6 +250,26 @@ def test_suffix_dedup(spark, docs, monkeypatch):
         assert got == brute_repeats(texts, 80)
 
 
+@pytest.mark.parametrize("n_texts,times", [(60, 1), (3, 40)])
+def test_suffix_dedup_bounds_a_task(spark, monkeypatch, n_texts, times):
+    """One passage in equal surroundings in many texts, and many times in few texts, of which some differ near it."""
+    dice = random.Random(n_texts)
+    word = lambda n: "".join(dice.choice("abcdefgh ") for _ in range(n))
+    passage = word(300)
+    texts = {i: "".join(word(9) + passage[dice.choice([0, 0, 0, 110]) :] for _ in range(times)) + word(50) for i in range(n_texts)}
+    of_group = suffix_dedup._of_group
+
+    def bounded(rows, length):
+        assert len(rows) <= 40, f"{len(rows)} contexts in a unit"
+        yield from of_group(rows, length)
+
+    monkeypatch.setattr(suffix_dedup, "PART", 8)
+    monkeypatch.setattr(suffix_dedup, "_of_group", bounded)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(rows, 80).collect()}
+    assert got == brute_repeats(texts, 80)
+
+
 def test_deep_shallow_sort():
     dice = random.Random(1)
     for _ in range(100):

@@ -20,8 +20,11 @@ LENGTH = 400
 ANCHOR_POWER = 5
 #: Bytes of a text in which anchors are sought at a time.
 CHUNK = 1 << 20
-#: Contexts of an anchor in one part; parts of a very frequent anchor are compared two by two.
+#: Places of an anchor that are compared in one task. The different contexts of an anchor with more are dealt into parts of about
+#: as many, which are compared two by two.
 PART = 16384
+#: Contexts in a batch.
+BATCH = 4096
 
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -170,40 +173,50 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
                 yield pa.RecordBatch.from_arrays(columns, ["anchor", "digest", "places"])
 
     each = texts.mapInArrow(find, "anchor long, digest binary, places array<int>").repartition("anchor").dropDuplicates(["anchor", "digest"])
-    of_anchor = Window.partitionBy("anchor")
-    counted = each.withColumns({"n": F.count("*").over(of_anchor), "all": F.sum(F.size("places")).over(of_anchor)})
+    counted = each.withColumn("all", F.sum(F.size("places")).over(Window.partitionBy("anchor")))
     several = counted.filter(F.col("all") > 1)
-    of_text = several.groupBy("digest").agg(F.collect_list(F.struct("anchor", "places", "n")).alias("anchors"))
+    of_text = several.groupBy("digest").agg(
+        F.collect_list(F.struct("anchor", "places", (F.col("all") > PART).alias("hot"))).alias("anchors"),
+        F.max(F.col("all") > PART).alias("hot"), F.min(F.col("all") > PART).alias("only_hot"),
+    )
     held = stage(texts.join(stage(of_text, "anchors"), "digest"), "held")
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
-        for batch in batches:
-            for i, digest in enumerate(batch["digest"].to_pylist()):
-                if digest in seen:
-                    continue
-                seen.add(digest)
-                text = batch["text"][i].cast(pa.large_binary()).as_py()
-                rows: dict[tuple, list[int]] = {}
-                for a in batch["anchors"][i].as_py():
-                    for p in a["places"]:
-                        left, right = text[max(0, p - before) : p][::-1], text[p : p + length]
-                        if len(left) + len(right) >= length:
-                            rows.setdefault((a["anchor"], a["n"], left, right), []).append(p)
-                if rows:
-                    keys = list(zip(*rows))
-                    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-                    columns = [pa.array(k, t) for k, t in zip(keys, kinds)]
-                    columns += [pa.array([digest] * len(rows), pa.binary()), pa.array(list(rows.values()), pa.list_(pa.int32()))]
-                    yield pa.RecordBatch.from_arrays(columns, ["anchor", "n", "left", "right", "digest", "places"])
-
-    schema = "anchor long, n long, left binary, right binary, digest binary, places array<int>"
-    # contexts of a very frequent anchor are dealt into parts, and every pair of parts is a unit
-    parts = F.ceil(F.col("n") / PART).cast("int")
-    mine = F.pmod(F.xxhash64("left", "right"), parts).cast("int")
-    units = F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.least(mine, j) * parts + F.greatest(mine, j))
-    dealt = held.mapInArrow(contexts, schema).withColumn("unit", F.explode(units)).drop("n")
-    sorted_ = dealt.repartition("anchor", "unit").sortWithinPartitions("anchor", "unit")
+    def contexts(hot: bool, whole: bool):
+        """Contexts of the anchors that are hot or not: ``anchor, key, digest, places`` and, if ``whole``, ``left, right``."""
+
+        def batch_of(rows: dict[tuple, list[int]], digest: bytes) -> pa.RecordBatch:
+            made = {
+                "anchor": pa.array([a for a, _, _ in rows], pa.int64()),
+                "key": pa.array([hashlib.md5(b"%d %d " % (a, len(left)) + left + right).digest() for a, left, right in rows], pa.binary()),
+                "digest": pa.array([digest] * len(rows), pa.binary()),
+                "places": pa.array(list(rows.values()), pa.list_(pa.int32())),
+            }
+            if whole:
+                made |= {"left": pa.array([r[1] for r in rows], pa.binary()), "right": pa.array([r[2] for r in rows], pa.binary())}
+            return pa.RecordBatch.from_pydict(made)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen = set()
+            for batch in batches:
+                for i, digest in enumerate(batch["digest"].to_pylist()):
+                    if digest in seen:
+                        continue
+                    seen.add(digest)
+                    text = batch["text"][i].cast(pa.large_binary()).as_py()
+                    rows: dict[tuple, list[int]] = {}
+                    for a in batch["anchors"][i].as_py():
+                        for p in a["places"] if a["hot"] == hot else ():
+                            left, right = text[max(0, p - before) : p][::-1], text[p : p + length]
+                            if len(left) + len(right) >= length:
+                                rows.setdefault((a["anchor"], left, right), []).append(p)
+                            if len(rows) >= BATCH:
+                                yield batch_of(rows, digest)
+                                rows = {}
+                    if rows:
+                        yield batch_of(rows, digest)
+
+        schema = "anchor long, key binary, digest binary, places array<int>" + ", left binary, right binary" * whole
+        return held.filter(F.col("hot") if hot else ~F.col("only_hot")).select("digest", "text", "anchors").mapInArrow(run, schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
@@ -236,8 +249,27 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
         close()
         yield out()
 
-    found = sorted_.mapInArrow(compare, "digest binary, spans array<int>")
-    return found.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans")), held.select("digest", "text")
+    def compared(rows: DataFrame) -> DataFrame:
+        held = rows.select("anchor", "unit", "left", "right", "digest", "places").repartition("anchor", "unit")
+        return held.sortWithinPartitions("anchor", "unit").mapInArrow(compare, "digest binary, spans array<int>")
+
+    found = compared(contexts(False, True).withColumn("unit", F.lit(0)))
+    # equal contexts of a hot anchor are one row, at place 0; twice there if they stand at several places
+    whole = contexts(True, True).withColumn("n", F.size("places").cast("long"))
+    different = stage(whole.groupBy("anchor", "key", "left", "right").agg(F.sum("n").alias("n")), "contexts")
+    parts = different.groupBy("anchor").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")).filter("parts > 1")
+    # not many: each of these anchors has more than a part of contexts
+    dealt = different.join(F.broadcast(parts), "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    mine, n = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"), F.col("parts")
+    units = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.least(mine, j) * n + F.greatest(mine, j))
+    once = F.when(F.col("n") > 1, F.array(F.lit(0), F.lit(0))).otherwise(F.array(F.lit(0)))
+    reach = compared(dealt.select("anchor", "left", "right", F.col("key").alias("digest"), once.alias("places"), F.explode(units).alias("unit")))
+    # every pair of a context spans its anchor, so together they are one span
+    reach = reach.groupBy(F.col("digest").alias("key")).agg(F.min(F.col("spans")[0]).alias("from"), F.max(F.col("spans")[1]).alias("to"))
+    spread = F.flatten(F.transform("places", lambda p: F.array(p + F.col("from"), p + F.col("to"))))
+    told = contexts(True, False).join(reach, "key").select("digest", spread.alias("spans"))
+    spans = found.union(told).groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return spans, held.select("digest", "text")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -249,7 +281,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     or more, all of each is removed.
 
     Every such string holds an anchor, so the suffixes to sort are those at anchors that occur twice. A task holds the
-    contexts of one anchor, or of two parts of a very frequent one. Texts are shuffled once, by their digest, and those with a
+    contexts of one anchor at up to ``PART`` places. Of a more frequent one, equal contexts are summed to one row first, and a
+    task holds two parts of about ``PART`` different contexts; what it finds is joined back to the places. Texts are shuffled once, by their digest, and those with a
     repeated anchor a second time.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
