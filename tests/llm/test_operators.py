@@ -15,6 +15,7 @@ from txrisk.llm import chat, decontaminate, exact_dedup, jaccard_join, language_
 from txrisk.llm.components import components
 from txrisk.llm.deep_shallow import blind_sort, deep_shallow_sort
 from txrisk.llm.fm_index import FMIndex, suffix_array
+from txrisk.llm.queries import queries
 from txrisk.llm.tables import flag_members
 from txrisk.sources.workspace import stage
 
@@ -94,6 +95,21 @@ def test_quality(docs):
     assert b"".join(quality.blocks(b"x" * 5001)) == b"x" * 5001
 
 
+def test_quality_is_learned_from_whole_texts(spark, tmp_path):
+    """Texts with one long beginning, which differ only behind it."""
+    dice = random.Random(3)
+    some = lambda: ["".join(dice.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(200)]
+    front, kinds = " ".join(dice.choices(some(), k=9000)), (some(), some())
+    texts = [(i, front + " ".join(dice.choices(kinds[i % 2], k=9000))) for i in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    held = [r for r in queries()["op2_quality"](spark, str(tmp_path)).collect() if r.held_out]
+    assert {r.doc_id % 2 for r in held} == {0, 1}
+    assert all(r.score > 0.7 if r.doc_id % 2 else r.score < 0.3 for r in held)
+    long = dict(texts)[0].encode()
+    assert len(quality.some_blocks(long)) == 8 and any(b not in front.encode() for b in quality.some_blocks(long))
+
+
 def test_chat_round_trip(spark):
     turns = [
         (1, 0, "user", "</s>[INST] ok [/INST]"),

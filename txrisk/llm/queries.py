@@ -24,7 +24,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = quality.train(quality.sample(docs, labels.filter(fold("doc_id", 5) != 0)))
+    model = quality.learn(docs, labels.filter(fold("doc_id", 5) != 0))
     held = docs.select("doc_id", "text", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"))
     return quality.score(held, model, ("doc_id", "held_out"))
 
