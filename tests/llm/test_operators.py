@@ -143,6 +143,17 @@ def test_personal_data(spark, docs):
     assert got[10].spans == "phone:10:22" and got[11].spans == ""
 
 
+def test_personal_data_is_found_over_long_chains(spark):
+    """Each cue is learned from numbers that also follow the cue before; the last needs six rounds."""
+    texts = [f"alfa +1 415 {100 + i} 1000" for i in range(864)]
+    for k, (cue, after) in enumerate([("alfa", "bravo"), ("bravo", "charlie"), ("charlie", "delta")]):
+        texts += [f"{c} {200 + k}/{300 + i}/4444" for i in range((144, 24, 4)[k]) for c in (cue, after)]
+    texts += ["delta 999/888/7777", "room 999/888/6666"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(rows).collect()}
+    assert got[len(texts) - 2] == "phone:6:18" and got[len(texts) - 1] == ""
+
+
 def test_personal_data_rules_are_linear_and_exact():
     for text in ("1" * 200_000, "a@" * 50_000, "x" * 200_000 + "@", "1." * 100_000, "+1" * 50_000):
         pii.base_spans(text)

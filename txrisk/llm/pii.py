@@ -26,8 +26,7 @@ RUN = re.compile(r"[+(]?[0-9][0-9 ().\-/]*+")
 TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 GROUPS = re.compile(r"[0-9]{1,3}(?:[ .\-][0-9]{1,3}){3}\Z")
 TRAILING = ".,;:!?)]}>\"'"
-#: Rounds of scoring; score and number of different identifiers from which a pattern is trusted.
-ROUNDS = 3
+#: Score and number of different identifiers from which a pattern is trusted.
 TRUSTED = 0.7
 SUPPORT = 4
 CONTEXT = 48
@@ -138,19 +137,25 @@ def scan(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(read, f"doc_id {kind}, digest binary, base {span}, found {found}")
 
 
-def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _figures(trusted: DataFrame) -> tuple:
+    """Equal for equal tables of patterns and scores, and for different ones only by an unlikely chance."""
+    return tuple(trusted.agg(F.count("*"), F.bit_xor(F.xxhash64("pattern", "kind", "score"))).first())
+
+
+def bootstrap(edges: DataFrame) -> DataFrame:
     """``pattern, kind, score`` of the trusted patterns, from the graph of patterns and values.
 
     ``edges`` has one row ``pattern, value, seed, fits`` per pair. A pattern's score for a kind is the sum of its values'
     confidences over the number of its different values, of any kind or none. A seed's confidence is 1 for its kind and 0 for others;
     another value has the chance that at least one of its trusted patterns is right. Each round is two sums, joined by
-    pattern and by value; rounds write their trusted patterns.
+    pattern and by value; rounds write their trusted patterns, and go
+    on until neither these nor their scores (to 9 digits) change. They end, as scores only ever rise.
     """
     totals = edges.groupBy("pattern").agg(F.count("*").alias("values")).filter(F.col("values") >= SUPPORT)
     seeds = edges.filter("seed IS NOT NULL").select("pattern", "value", F.col("seed").alias("kind"), F.lit(1.0).alias("confidence"))
     others = edges.filter("seed IS NULL").select("pattern", "value", F.explode("fits").alias("kind"))
-    trusted = None
-    for _ in range(rounds):
+    trusted, before = None, None
+    while True:
         sure = seeds
         if trusted is not None:
             learned = others.join(trusted, ["pattern", "kind"]).groupBy("value", "kind")
@@ -160,10 +165,13 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         scored = scored.filter(F.col("support") >= SUPPORT).join(totals, "pattern")
         scored = scored.select("pattern", "kind", F.round(F.col("sum") / F.col("values"), 9).alias("score")).filter(F.col("score") >= TRUSTED)
         trusted = stage(scored, "patterns")
-    return trusted
+        after = _figures(trusted)
+        if after == before or not after[0]:
+            return trusted
+        before = after
 
 
-def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def find_personal_data(docs: DataFrame) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` for every row of ``docs`` (``doc_id, text``).
 
     The counts and ``base_sha256`` concern the fixed rules' spans, written ``kind:start:end`` by start, then kind, joined by
@@ -179,7 +187,7 @@ def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     each = rows.select("digest", F.explode("found").alias("c")).select("digest", "c.*")
     pairs = each.select(F.explode("patterns").alias("pattern"), "value", "seed", "fits")
     edges = stage(pairs.groupBy("pattern", "value").agg(F.min("seed").alias("seed"), F.first("fits").alias("fits")), "edges")
-    trusted = bootstrap(edges, rounds)
+    trusted = bootstrap(edges)
     open_ = each.filter("seed IS NULL AND size(fits) > 0").select("digest", "start", "end", "fits", F.explode("patterns").alias("pattern"))
     told = open_.join(trusted, "pattern").filter(F.array_contains("fits", F.col("kind")))
     best = told.groupBy("digest", "start", "end").agg(F.min(F.struct((-F.col("score")).alias("s"), "kind")).alias("best"))
