@@ -83,6 +83,17 @@ def test_language(spark, docs):
     assert language_id.train(language_id.sample(docs.filter("false"))) is None
 
 
+def test_language_sample_of_copies(spark):
+    """Every language has a label, however many copies its texts have, and copies count once."""
+    texts = [(f"kopie {lang}", f"l{lang}") for lang in range(12) for _ in range(100)]
+    texts += [("text " + "".join("abcdefghij"[int(c)] for c in str(i)), "en") for i in range(300)] + [("the same again", "en")] * 500
+    rows = spark.createDataFrame(texts, "text string, lang string").repartition(3)
+    found = language_id.sample(rows, 10)
+    assert {lang for lang, _ in found} == {"en", *(f"l{i}" for i in range(12))}
+    assert len(found) == len({(lang, " ".join(words)) for lang, words in found}) and 2 <= sum(lang == "en" for lang, _ in found) <= 20
+    assert found == language_id.sample(rows.repartition(5), 10)
+
+
 def test_quality(docs):
     good, bad = [(f"a sound text about {i} things. " * 20).encode() for i in range(40)], [(f"BUY!! {i} $$$ " * 30).encode() for i in range(40)]
     model = quality.train([(t, 1) for t in good] + [(t, 0) for t in bad])

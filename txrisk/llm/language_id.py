@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from txrisk.llm.crf import ENDS, TOKENS, Labeller, Model, pieces
 from txrisk.llm.crf import train as train_crf
@@ -37,13 +38,13 @@ def _sentences(text: str, wanted: int, seed: int) -> list[list[str]]:
 
 
 def sample(labelled: DataFrame, per_label: int = TRAIN_DOCS, sentences: int = TRAIN_SENTENCES) -> list[tuple[str, list[str]]]:
-    """About ``per_label`` documents of every language (columns ``text, lang``, rows with a NULL left out), by a hash of the
-    text and language with a rate that follows the language's count, and some sentences of each.
+    """About ``per_label`` different texts of every language (columns ``text, lang``, rows with a NULL left out), by a hash of the
+    text and language with a rate that follows the language's estimated count of different texts, and some sentences of each.
 
-    At most ``2 * per_label`` documents for each language come to the driver, whatever the size of the table.
+    At most ``2 * per_label`` texts for each language come to the driver, the first by the hash, whatever the size of the table.
     """
     rows = labelled.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: max(1, r["n"]) for r in rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("n")).collect()}
     if not counts:
         return []
     rate = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_label / n))]), F.col("lang"))
@@ -51,15 +52,14 @@ def sample(labelled: DataFrame, per_label: int = TRAIN_DOCS, sentences: int = TR
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, words = [], []
-            for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
-                found = _sentences(text, sentences, len(text))
-                langs += [lang] * len(found)
-                words += [" ".join(x) for x in found]
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string())], ["lang", "words"])
-
-    chosen = rows.filter(drawn < rate).limit(2 * per_label * len(counts)).mapInArrow(cut, "lang string, words string")
-    return sorted((r["lang"], r["words"].split(" ")) for r in chosen.collect())
+            words = [[" ".join(x) for x in _sentences(text, sentences, len(text))] for text in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["lang"], batch["drawn"], pa.array(words, pa.list_(pa.string()))], ["lang", "drawn", "words"])
+
+    different = rows.withColumn("drawn", drawn).filter(F.col("drawn") < rate).dropDuplicates(["lang", "text"])
+    chosen = different.select("lang", "drawn", "text").mapInArrow(cut, "lang string, drawn double, words array<string>")
+    order = Window.partitionBy("lang").orderBy("drawn", "words")
+    chosen = chosen.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= 2 * per_label)
+    return sorted((r["lang"], words.split(" ")) for r in chosen.collect() for words in r["words"])
 
 
 def train(sentences: list[tuple[str, list[str]]], seed: int = 1) -> Model | None:
