@@ -141,6 +141,43 @@ WITH digested AS (
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND n = keep_n AS kept, text_sha256 FROM ranked
 """
 
+OP12 = r"""
+WITH parsed AS (
+    SELECT page_id, coalesce(url LIKE '%://%', false) AS has,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(.*)$', 1), '') AS rest
+    FROM pages
+), rules(verdict, rule_host, rule_path) AS (
+    VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+        ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), best AS (
+    SELECT *, (
+        SELECT max_by(rule_host || rule_path || ' ' || verdict, length(rule_host || rule_path)) FROM rules
+        WHERE ends_with('.' || host, '.' || rule_host) AND starts_with(path, rule_path)
+    ) AS found, CASE WHEN NOT has THEN NULL
+        WHEN contains(rest, '/wp-login.php') THEN 'login'
+        WHEN regexp_matches('.' || host, '[.]spam-farm[.]') THEN 'spam farm'
+        WHEN contains(host, '-casino.') THEN 'casino'
+        WHEN contains(rest, '?sessionid=') THEN 'session'
+        WHEN contains(rest, '/cart/') THEN 'cart'
+        WHEN ends_with(rest, '.zip') THEN 'archive' END AS other
+    FROM parsed
+)
+SELECT page_id, host, path, split_part(found, ' ', 1) AS rule,
+    CASE WHEN found IS NULL THEN other END AS pattern,
+    CASE WHEN found IS NOT NULL THEN split_part(found, ' ', 2) WHEN pattern IS NULL THEN 'allow' ELSE 'block' END AS verdict
+FROM best
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3, "op5_jaccard_join": OP5, "op6_decontaminate": OP6, "op7_mixing": OP7, "op9_merkle_audit": OP9, "op10_exact_dedup": OP10}
+    return {
+        "op3_chat_format": OP3,
+        "op5_jaccard_join": OP5,
+        "op6_decontaminate": OP6,
+        "op7_mixing": OP7,
+        "op9_merkle_audit": OP9,
+        "op10_exact_dedup": OP10,
+        "op12_url_rules": OP12,
+    }

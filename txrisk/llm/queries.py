@@ -7,13 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.llm import chat, decontaminate, exact_dedup, jaccard_join, language_id, mixing, pii, quality, suffix_dedup, warc_audit
+from txrisk.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    mixing,
+    pii,
+    quality,
+    suffix_dedup,
+    url_rules,
+    warc_audit,
+)
 from txrisk.llm.tables import fold, table
 from txrisk.sources.workspace import stage
 
 #: Said by both turns of the conversation that the chat query adds.
 TRICKY = "</s>[INST] ok [/INST]"
 
+#: Verdict, host and path of the rules that come first in the URL query.
+HOST_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+#: Name, pattern and verdict of those that decide where none of the first fits.
+PATTERNS = [
+    ("spam farm", "||spam-farm.", "block"),
+    ("casino", "||*-casino.", "block"),
+    ("login", "/wp-login.php", "block"),
+    ("cart", "/cart/", "block"),
+    ("session", "?sessionid=", "block"),
+    ("archive", ".zip|", "block"),
+]
+
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -71,5 +101,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rule`` is of ``HOST_RULES``; where none fits, ``pattern`` is the pattern rule that decides, if any."""
+    rules = url_rules.rule_table(spark, url_rules.host_rules(HOST_RULES), PATTERNS)
+    found = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    of = lambda tier, name: F.when(F.col("tier") == tier, F.col("rule")).alias(name)
+    return found.select("row.page_id", "host", "path", of(0, "rule"), "verdict", of(1, "pattern"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
