@@ -171,6 +171,95 @@ FROM best
 """
 
 
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text: eight shifts for each character."""
+    shifts = "list_reduce([xor(crc, character), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    start = "[CAST(4294967295 AS BIGINT)]"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_concat({start}, {codes}), lambda crc, character: {shifts}), 4294967295)"
+
+
+#: Of the states of a repair, the cheapest text "cost and edits": nothing, s, u and a before.
+def _cheapest(*ways: tuple[str, str, str]) -> str:
+    """The least of ways: (state, cost, edit). A cost is held as six digits, so that texts compare by cost, then edits."""
+    made = ", ".join(f"lpad(CAST(CAST(left({s}, 6) AS BIGINT) + ({c}) AS VARCHAR), 6, '0') || substr({s}, 7) || '{e}'" for s, c, e in ways)
+    return f"list_min([{made}])"
+
+
+#: An inserted user after nothing, s or a; an inserted assistant after u; and again, as one may lead to the other.
+_AFTER_U = f"list_min([u, {_cheapest(('z', '3', 'I'), ('s', '3', 'I'), ('a', '3', 'I'))}])"
+_AFTER_A = f"list_min([a, {_cheapest(('u', '3', 'I'))}])"
+
+OP13 = f"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {crc32_sql("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM keyed
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(sha256(role) || text), copy) AS k FROM damaged
+), initials AS (
+    SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS initial,
+        CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+            WHEN regexp_matches(text, '[^.!?\x20\x09-\x0D][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+    FROM numbered
+), pairs AS (
+    SELECT *, coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY k) || initial NOT IN ('su', 'ua', 'au'), false) AS illegal FROM initials
+), sums AS (
+    SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM pairs GROUP BY conv_id
+), searched AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS k, '000000' AS z, CAST(NULL AS VARCHAR) AS s, '000003I' AS u, '000006II' AS a FROM sums
+    UNION ALL
+    SELECT conv_id, k, z, s, u, a FROM (
+        SELECT conv_id, k, z, s, u, {_AFTER_A} AS a FROM (
+            SELECT conv_id, k, z, s, {_AFTER_U} AS u, a FROM (
+                SELECT conv_id, k, z, s, u, {_AFTER_A} AS a FROM (
+                    SELECT b.conv_id, r.k, {_cheapest(('b.z', '4', 'D'))} AS z,
+                        list_min([{_cheapest(('b.s', '4', 'D'))}, CASE WHEN may AND initial = 's' THEN {_cheapest(('b.z', 'more', 'K'))} END]) AS s,
+                        list_min([{_cheapest(('b.u', '4', 'D'))},
+                            CASE WHEN may AND initial = 'u' THEN {_cheapest(('b.z', 'more', 'K'), ('b.s', 'more', 'K'), ('b.a', 'more', 'K'))} END,
+                            CASE WHEN may THEN {_cheapest(('b.z', 'more + 3', 'R'), ('b.s', 'more + 3', 'R'), ('b.a', 'more + 3', 'R'))} END]) AS u,
+                        list_min([{_cheapest(('b.a', '4', 'D'))}, CASE WHEN may AND initial = 'a' THEN {_cheapest(('b.u', 'more', 'K'))} END,
+                            CASE WHEN may THEN {_cheapest(('b.u', 'more + 3', 'R'))} END]) AS a
+                    FROM searched b JOIN (
+                        SELECT *, fault NOT IN ('blank', 'duplicate') AS may, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS more FROM initials
+                    ) r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.k = b.k + 1
+                )
+            )
+        )
+    )
+), best AS (
+    SELECT conv_id, list_min([z, a]) AS best FROM searched WHERE k = (SELECT max(rows) FROM sums WHERE sums.conv_id IS NOT DISTINCT FROM searched.conv_id)
+), edits AS (
+    SELECT conv_id, CAST(left(best, 6) AS BIGINT) AS cost, substr(best, 7) AS audit, unnest(range(1, length(best) - 5)) AS i FROM best
+), made AS (
+    SELECT conv_id, i, substr(audit, i, 1) AS edit, length(replace(left(audit, i), 'I', '')) AS k, length(replace(left(audit, i), 'D', '')) AS place FROM edits
+), first_kept AS (
+    SELECT made.conv_id, edit = 'K' AND initial = 's' AS system FROM made LEFT JOIN initials r ON r.conv_id IS NOT DISTINCT FROM made.conv_id AND r.k = made.k
+    WHERE edit <> 'D' AND place = 1
+), repaired AS (
+    SELECT made.conv_id, sha256(string_agg(CASE edit WHEN 'K' THEN role || ':' || text ELSE
+        CASE WHEN (place + CAST(system AS INTEGER)) % 2 = 1 THEN 'user:' ELSE 'assistant:' END || CASE edit WHEN 'R' THEN text ELSE '' END END, chr(10) ORDER BY i)) AS sha
+    FROM made JOIN first_kept f ON f.conv_id IS NOT DISTINCT FROM made.conv_id
+    LEFT JOIN initials r ON r.conv_id IS NOT DISTINCT FROM made.conv_id AND r.k = made.k WHERE edit <> 'D' GROUP BY made.conv_id
+), of_all AS (
+    SELECT DISTINCT conv_id FROM conversations
+)
+SELECT of_all.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(CAST(left(best, 6) AS BIGINT), 0) AS cost, coalesce(substr(best, 7), '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM of_all LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM of_all.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM of_all.conv_id
+    LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM of_all.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_chat_format": OP3,
@@ -180,4 +269,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_merkle_audit": OP9,
         "op10_exact_dedup": OP10,
         "op12_url_rules": OP12,
+        "op13_structure_repair": OP13,
     }

@@ -16,6 +16,7 @@ from txrisk.llm import (
     mixing,
     pii,
     quality,
+    structure_repair,
     suffix_dedup,
     url_rules,
     warc_audit,
@@ -109,5 +110,10 @@ def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.page_id", "host", "path", of(0, "rule"), "verdict", of(1, "pattern"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage."""
+    return structure_repair.report(structure_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
