@@ -179,6 +179,40 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce(list_concat({start}, {codes}), lambda crc, character: {shifts}), 4294967295)"
 
 
+OP11 = f"""
+WITH said AS (
+    SELECT conv_id, turn, sha256(sha256(coalesce(role, '')) || coalesce(text, '')) AS told, CAST(length(coalesce(text, '')) AS BIGINT) AS chars
+    FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, told) AS k FROM said
+), ids AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h, count(*) AS own FROM turns GROUP BY ALL
+), planned AS (
+    SELECT ids.*, least(ids.h, coalesce(b.own, 0)) AS head FROM ids LEFT JOIN ids b ON b.conv_id = ids.base
+), rebuilt AS (
+    SELECT p.conv_id AS c, k AS d, told, chars FROM planned p JOIN turns ON turns.conv_id = base AND k <= head
+    UNION ALL SELECT p.conv_id, head + k - h, told, chars FROM planned p JOIN turns ON turns.conv_id = p.conv_id AND k > h
+    UNION ALL SELECT conv_id, 0, '', 0 FROM planned
+), paths AS (
+    SELECT c, d, chars, string_agg(told, '') OVER (PARTITION BY c ORDER BY d) AS path, d = max(d) OVER (PARTITION BY c) AS is_end FROM rebuilt
+), nodes AS (
+    SELECT d, path, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (is_end), '')) AS ends_sha256
+    FROM paths GROUP BY d, path
+), children AS (
+    SELECT left(path, 64 * (d - 1)) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), whole AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)
+), above AS (
+    SELECT left(path, 64 * i) AS path, n_children = 0 AS leaf, (n_convs - 1) * chars AS saved
+    FROM (SELECT *, unnest(range(0, d + 1)) AS i FROM whole)
+), sums AS (
+    SELECT path, count(*) FILTER (leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM above GROUP BY path
+)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+FROM whole w JOIN sums USING (path) LEFT JOIN nodes p ON w.d > 0 AND p.path = left(w.path, 64 * (w.d - 1))
+"""
+
 #: Of the states of a repair, the cheapest text "cost and edits": nothing, s, u and a before.
 def _cheapest(*ways: tuple[str, str, str]) -> str:
     """The least of ways: (state, cost, edit). A cost is held as six digits, so that texts compare by cost, then edits."""
@@ -268,6 +302,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_mixing": OP7,
         "op9_merkle_audit": OP9,
         "op10_exact_dedup": OP10,
+        "op11_prefix_trie": OP11,
         "op12_url_rules": OP12,
         "op13_structure_repair": OP13,
     }

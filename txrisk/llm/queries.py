@@ -15,6 +15,7 @@ from txrisk.llm import (
     language_id,
     mixing,
     pii,
+    prefix_trie,
     quality,
     structure_repair,
     suffix_dedup,
@@ -102,6 +103,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation begins with up to five turns of the first of its hundred."""
+    turns = table(spark, sf_dir, "conversations")
+    ids = turns.select(F.col("conv_id").cast("long").alias("conv_id")).filter("conv_id IS NOT NULL").distinct()
+    plan = ids.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 100).alias("base"), fold("conv_id", 6).alias("head"))
+    return prefix_trie.prefix_trie(turns, plan)
+
+
 def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``rule`` is of ``HOST_RULES``; where none fits, ``pattern`` is the pattern rule that decides, if any."""
     rules = url_rules.rule_table(spark, url_rules.host_rules(HOST_RULES), PATTERNS)
