@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txrisk.sources.json_members import scalar_members
+
 
 def code_rows(objects: DataFrame, column: str = "value") -> DataFrame:
     """One row per key of every JSON object in ``column``: (``mcc_code``, ``mcc_category``).
@@ -43,19 +47,25 @@ def read_mcc_codes(spark: SparkSession, path: str, one_per_file: bool = True) ->
     return code_rows(read_objects(spark, path, one_per_file))
 
 
-#: A key and its label, at the end of what stands between two commas.
-PAIR = r'"([^"]*)"\s*:\s*"([^"]*)"[\s}]*$'
+def read_code_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of :func:`code_rows` from an object of any size in each file, which many tasks read."""
+    members = scalar_members(spark, path)
+    return members.select(F.col("key").try_cast("int").alias("mcc_code"), F.col("value").alias("mcc_category"))
 
 
-def read_label_pairs(spark: SparkSession, path: str, positive: str = "Yes") -> DataFrame:
-    """The rows of :func:`label_rows` from files of any size, each an object that holds labels only (also nested).
+def read_label_pairs(
+    spark: SparkSession, path: str, positive: str | Sequence[str] = "Yes", field: str | None = None
+) -> DataFrame:
+    """The rows of :func:`label_rows` from an object of any size in each file, which many tasks read.
 
-    The text is cut at commas, which labels don't contain, so Spark splits a large file among tasks.
+    Labels are text, numbers or booleans; ``positive`` are those that mean fraud, as they are written. Without ``field`` the labels of nested
+    objects count as well. What is no label is an error.
     """
-    pieces = spark.read.option("lineSep", ",").text(path).filter(F.col("value").rlike(PAIR))
-    return pieces.select(
-        F.regexp_extract("value", PAIR, 1).try_cast("bigint").alias("transaction_id"),
-        (F.regexp_extract("value", PAIR, 2) == positive).alias("is_fraud"),
+    accepted = [positive] if isinstance(positive, str) else list(positive)
+    members = scalar_members(spark, path, field)
+    return members.select(
+        F.col("key").try_cast("bigint").alias("transaction_id"),
+        F.col("value").isin(accepted).alias("is_fraud"),
     )
 
 

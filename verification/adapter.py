@@ -6,7 +6,7 @@ transactions find no card, no user or no category. The same shapes are written a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = "2024-01-30"
@@ -103,6 +103,46 @@ def label_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Text that a code's description ends with in :func:`code_members`.
+HARD = ', "fine" {and} \\ other'
+
+
+def _member(key: Column, value: Column) -> Column:
+    """``"key":"value"``, escaped."""
+    pair = F.to_json(F.create_map(key.cast("string"), value))
+    return F.substr(pair, F.lit(2), F.length(pair) - 2)
+
+
+def code_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The codes as members of an object, ``"<code>":"<description>"``, with commas, quotes and braces in the text."""
+    return codes(spark, sf_dir).select(_member(F.col("mcc_code"), F.concat("mcc_category", F.lit(HARD))).alias("value"))
+
+
+POSITIVE = ("1", "true", "Yes", 'Yes, "sure"')
+
+
+def label_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels as members of an object: numbers, booleans, text, and text with commas and quotes."""
+    key, yes = F.col("doc_id"), F.col("toxic") == 1
+    plain = F.concat(F.lit('"'), key.cast("string"), F.lit('":'))
+    number = F.concat(plain, F.when(yes, "1").otherwise("0"))
+    boolean = F.concat(plain, F.when(yes, "true").otherwise("false"))
+    text = _member(key, F.when(yes, "Yes").otherwise("No"))
+    hard = _member(key, F.when(yes, POSITIVE[3]).otherwise("No, } {\"not\": 1"))
+    kind = F.pmod(key, F.lit(4))
+    value = F.when(kind == 0, number).when(kind == 1, boolean).when(kind == 2, text).otherwise(hard)
+    return table(spark, sf_dir, "labels").select(value.alias("value"))
+
+
+def write_objects(members: DataFrame, folder: str, begin: str, end: str, files: int = 4) -> None:
+    """JSON objects, one per file: ``begin``, a comma and a member a line, ``end``."""
+    bucket = F.pmod(F.xxhash64("value"), F.lit(files))
+    rows = members.select(bucket.alias("bucket"), F.lit(1).alias("place"), F.concat(F.lit(", "), "value").alias("value"))
+    for place, text in ((0, begin), (2, end)):
+        rows = rows.union(members.sparkSession.range(files).select("id", F.lit(place), F.lit(text)))
+    rows.repartition("bucket").sortWithinPartitions("bucket", "place").select("bucket", "value").write.partitionBy("bucket").text(folder)
+
+
 def streamed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.readStream.schema(SCHEMAS["events"])
     return as_transactions(events.option("pathGlobFilter", "events.parquet").parquet(sf_dir))

@@ -481,6 +481,8 @@ WHERE gap > 3 * 86400 AND n_after >= 2""",
 city AS merchant_city, zip, mcc, nullif(errors, '') AS errors FROM tx""",
         "parquet_roundtrip": f"{VIEWS} {score_rows} WHERE score > 50",
         "codes_file": f"{VIEWS} SELECT * FROM codes",
+        "codes_object": f"""{VIEWS} SELECT mcc_code, mcc_category || ', "fine" {{and}} \\ other' AS mcc_category FROM codes""",
+        "labels_object": "SELECT doc_id AS transaction_id, toxic = 1 AS is_fraud FROM labels",
         "labels_file": "SELECT doc_id AS transaction_id, toxic = 1 AS is_fraud FROM labels",
         "cards_csv": f"""{VIEWS} SELECT id, card_brand, card_type, has_chip,
 '$' || (limit_cents // 100) || '.' || lpad(CAST(limit_cents % 100 AS VARCHAR), 2, '0') AS credit_limit,

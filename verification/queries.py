@@ -189,6 +189,22 @@ def labels_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_maps.read_label_pairs(spark, folder)
 
 
+def codes_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes from whole objects, one per file, that many tasks may read."""
+    folder = new_folder(spark, "codes-object")
+    adapter.write_objects(adapter.code_members(spark, sf_dir), folder, '{ "no code": null', "}")
+    return code_maps.read_code_pairs(spark, folder).filter("mcc_code IS NOT NULL")
+
+
+def labels_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of several types from one field of whole objects that hold others as well."""
+    folder = new_folder(spark, "labels-object")
+    members = adapter.label_members(spark, sf_dir)
+    adapter.write_objects(members, folder, '{"version": {"0": 1}, "target": {"no id": "Yes"', '}, "more": {"1": "Yes, 2"}}')
+    labels = code_maps.read_label_pairs(spark, folder, adapter.POSITIVE, "target")
+    return labels.filter("transaction_id IS NOT NULL")
+
+
 def enriched_saved(g: Given) -> DataFrame:
     folder = new_folder(g.spark, "transactions-enriched")
     parquet.write_parquet(enrich.enrich(g.tx, g.codes, g.cards, g.users), folder, partition_by=["tx_date"])
@@ -311,5 +327,7 @@ def queries() -> dict[str, Query]:
         "fraud_labels": lambda spark, sf: code_maps.label_rows(adapter.label_objects(spark, sf)),
         "codes_file": codes_file,
         "labels_file": labels_file,
+        "codes_object": codes_object,
+        "labels_object": labels_object,
     }
     return {name: _on_given(build) for name, build in BATCH.items()} | sources | STREAMS
