@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import datetime
+import random
 
 import pytest
 
 from txrisk import schemas
-from txrisk.operators import indicators, score
+from txrisk.operators import indicators, score, sequences
 from txrisk.operators.facts import clean, facts
 from txrisk.params import BurstRules
+from txrisk.streaming import bursts
 from txrisk.streaming import cards as streaming
 
 
@@ -16,6 +18,7 @@ def source(spark, build, tmp_path):
     """Files of transactions, read one file per batch."""
 
     def opened(*batches):
+        """Without batches, the files that are there already."""
         for i, batch in enumerate(batches):
             part = tmp_path / f"part-{i}"
             build.raw(*batch).coalesce(1).write.parquet(str(part))
@@ -26,6 +29,7 @@ def source(spark, build, tmp_path):
         )
         return streaming.timed(stream)
 
+    opened.spark, opened.opened = spark, opened
     return opened
 
 
@@ -110,3 +114,43 @@ def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert drained() == [1]
     add(2)
     assert drained() == [1, 2]
+
+
+def dated(second, **more):
+    moment = datetime.datetime(2024, 1, 1, 10) + datetime.timedelta(seconds=second)
+    return {"date": moment.strftime("%Y-%m-%d %H:%M:%S"), **more}
+
+
+def test_a_burst_that_straddles_every_grid(rows, source):
+    """Ten payments in 280 seconds that begin 50 seconds after a full minute: windows each minute hold at most nine."""
+    tries = [dated(50 + 31 * i) for i in range(10)]
+    end = [dated(90000, card_id=2)]
+    with bursts.arbitrary_state(source.spark):
+        on_grid = streaming.drain(streaming.velocity_alerts(source(tries, end)), "grid")
+        exact = streaming.drain(bursts.velocity_bursts(source.opened()), "exact")
+    assert rows(on_grid) == []
+    assert rows(exact) == [(1, datetime.datetime(2024, 1, 1, 10) + datetime.timedelta(seconds=50 + 31 * 9), 10)]
+
+
+def test_exact_bursts_equal_the_batch_result_also_after_a_restart(spark, build, rows, tmp_path):
+    rng = random.Random(8)
+    given = [dated(rng.randrange(40_000), card_id=rng.choice([1, 1, 2, None]), errors=rng.choice([None, "Bad PIN"]), id=i) for i in range(900)]
+    given += [{"date": None, "id": 900}, dated(10**6, card_id=9, id=901), dated(10**6 + 1, card_id=9, id=902)]
+    given.sort(key=lambda r: r["date"] or "")
+    burst = BurstRules(velocity_tx=4, pin_errors=3, pin_seconds=600)
+    folder = str(tmp_path / "in")
+    for name, alerts, expected in (("velocity", bursts.velocity_bursts, sequences.velocity_bursts), ("pins", bursts.pin_bursts, sequences.pin_bursts)):
+        for i, start in enumerate(range(0, len(given), 180)):
+            build.raw(*given[start : start + 180]).coalesce(1).write.mode("append").parquet(f"{folder}-{name}")
+            stream = spark.readStream.schema(schemas.TRANSACTIONS).option("maxFilesPerTrigger", 1).parquet(f"{folder}-{name}")
+            with bursts.arbitrary_state(spark):
+                found = streaming.drain(alerts(streaming.timed(stream, "10 minutes"), burst), name, str(tmp_path / name))
+        batch = expected(sequences.moments(build.facts(*given)), burst).filter("tx_ts < '2024-01-10'")
+        assert rows(found) == rows(batch) and batch.count() > 20
+
+
+def test_arbitrary_state_leaves_the_session_as_it_was(spark):
+    before = spark.conf.get(bursts.PROVIDER)
+    with bursts.arbitrary_state(spark):
+        assert spark.conf.get(bursts.PROVIDER) == bursts.ROCKSDB
+    assert spark.conf.get(bursts.PROVIDER) == before

@@ -497,6 +497,8 @@ score AS credit_score, {integer('n_cards')} AS num_credit_cards FROM users""",
 WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= {WATERMARK}""",
         "stream_velocity": sliding("1", 5, 1, 2),
         "stream_pin_burst": sliding("pin", 60, 10, 2),
+        "stream_velocity_exact": f"{trailing('1', 300, 2)} AND ts + INTERVAL 1 SECOND <= {WATERMARK}",
+        "stream_pin_exact": f"{trailing('pin', 86400, 2)} AND ts + INTERVAL 1 SECOND <= {WATERMARK}",
         "stream_enrich": enriched,
         "stream_sessions": f"""{VIEWS}, marked AS (
   SELECT card_id, ts, cents, CASE WHEN ts - lag(ts) OVER (PARTITION BY card_id ORDER BY ts, id) <= INTERVAL 6 HOUR

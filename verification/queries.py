@@ -28,6 +28,7 @@ from txrisk.operators.facts import clean, facts, rollup
 from txrisk.params import CARD_ERROR_BANDS, CLIENT_ERROR_BANDS, BurstRules, DecisionRules, Thresholds
 from txrisk.sources import code_maps, parquet, tables
 from txrisk.sources.workspace import new_folder, stage_all
+from txrisk.streaming import bursts
 from txrisk.streaming import cards as streaming
 from verification import adapter
 
@@ -223,6 +224,14 @@ def _streamed(name: str, build: Callable[[DataFrame, Given], DataFrame]) -> Quer
     return query
 
 
+def _exactly(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with bursts.arbitrary_state(spark):
+            return streaming.drain(build(streaming.timed(adapter.streamed_transactions(spark, sf_dir))), name)
+
+    return query
+
+
 BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "volumetry": lambda g: profile.volumetry(g.tx),
     "null_profile": lambda g: profile.null_profile(g.raw),
@@ -309,6 +318,8 @@ STREAMS: dict[str, Query] = {
     ),
     "stream_velocity": _streamed("velocity", lambda stream, g: streaming.velocity_alerts(stream, STREAM_BURSTS)),
     "stream_pin_burst": _streamed("pins", lambda stream, g: streaming.pin_alerts(stream, STREAM_BURSTS)),
+    "stream_velocity_exact": _exactly("velocity-exact", lambda stream: bursts.velocity_bursts(stream, BURSTS)),
+    "stream_pin_exact": _exactly("pins-exact", lambda stream: bursts.pin_bursts(stream, BURSTS)),
     "stream_enrich": _streamed(
         "enriched",
         lambda stream, g: enriched_columns(streaming.enriched(stream, g.codes, g.cards, g.users)),
