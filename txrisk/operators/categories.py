@@ -54,17 +54,21 @@ def category_risk(
     )
 
 
+MERCHANT_MEASURES = ("n_tx", "n_pos", "pos_cents", "n_errors")
+
+
+def merchant_totals(facts: DataFrame) -> DataFrame:
+    """The measures of every merchant; a run writes them once and hands them to the reports below in place of the facts."""
+    return facts.groupBy("merchant_id").agg(*totals(*MERCHANT_MEASURES))
+
+
 def merchants(facts: DataFrame) -> DataFrame:
     """Volume, mean positive amount and error rate per merchant: its reputation."""
-    return (
-        facts.groupBy("merchant_id")
-        .agg(*totals("n_tx", "n_pos", "pos_cents", "n_errors"))
-        .select(
-            "merchant_id",
-            "n_tx",
-            mean_amount(F.col("pos_cents"), F.col("n_pos")).alias("mean_amount"),
-            percent(F.col("n_errors"), F.col("n_tx")).alias("error_rate"),
-        )
+    return merchant_totals(facts).select(
+        "merchant_id",
+        "n_tx",
+        mean_amount(F.col("pos_cents"), F.col("n_pos")).alias("mean_amount"),
+        percent(F.col("n_errors"), F.col("n_tx")).alias("error_rate"),
     )
 
 

@@ -39,6 +39,29 @@ def volumetry(tx: DataFrame) -> DataFrame:
     )
 
 
+def summed_volumetry(daily: DataFrame, merchants: DataFrame) -> DataFrame:
+    """As :func:`volumetry`, from :func:`txrisk.operators.indicators.daily` and a table with one row for each merchant.
+
+    Every identity is counted by two sums, first per value and then over the values (NULL being one), so no row is copied for the other
+    counts.
+    """
+    per = [
+        (rows.groupBy(key).agg(*measure) if measure else rows.select(key).distinct()).agg(F.count("*").alias(name), *total)
+        for rows, key, name, measure, total in (
+            (daily, "client_id", "n_clients", [F.sum("n_tx").alias("n_tx")], [F.sum("n_tx").alias("n_tx")]),
+            (daily, "card_id", "n_cards", [], []),
+            (merchants, "merchant_id", "n_merchants", [], []),
+        )
+    ]
+    rows = per[0].unionByName(per[1], allowMissingColumns=True).unionByName(per[2], allowMissingColumns=True)
+    names = ("n_tx", "n_clients", "n_cards", "n_merchants")
+    return rows.agg(*[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in names]).select(
+        *names,
+        ratio(F.col("n_tx"), F.col("n_cards")).alias("tx_per_card"),
+        ratio(F.col("n_tx"), F.col("n_clients")).alias("tx_per_client"),
+    )
+
+
 def _per_column(df: DataFrame, measures: dict[str, dict], names: list[str], labels: list[str]) -> DataFrame:
     """One aggregation over the table, laid out as one row per column name."""
     flat = [

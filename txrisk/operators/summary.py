@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txrisk.operators.amounts import with_amount_band
 from txrisk.operators.facts import totals
+from txrisk.operators.sketches import positive_sketch
 
 SLICES = {
     "time": ("tx_hour", "tx_dow", "tx_month"),
@@ -17,7 +18,7 @@ SLICES = {
 
 
 def summary(facts: DataFrame) -> DataFrame:
-    """All measures by time of activity, by category code, by error text and by amount band.
+    """All measures, and a sketch of the positive amounts, by time of activity, by category code, by error text and by amount band.
 
     Four groupings of a single scan. Each has few groups, so a task shuffles thousands of partial sums at
     most. Read one grouping with :func:`part`.
@@ -25,7 +26,7 @@ def summary(facts: DataFrame) -> DataFrame:
     sets = [list(columns) for columns in SLICES.values()]
     columns = [name for names in SLICES.values() for name in names]
     marks = [F.grouping(names[0]).alias(f"without_{part}") for part, names in SLICES.items()]
-    return with_amount_band(facts).groupingSets(sets, *columns).agg(*totals(), *marks)
+    return with_amount_band(facts).groupingSets(sets, *columns).agg(*totals(), positive_sketch(), *marks)
 
 
 def part(summarised: DataFrame, name: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """All reports of one set of input tables, over a few shared tables.
 
 The text input is parsed once, into typed Parquet. Three tables are then summed from it and written:
-the small summary, the daily table and the moments. Most reports are sums over these. Only what needs
-every row reads the transactions again: the distinct counts, the column profile, the median, merchants,
-dominant errors, and the two exports of all transactions.
+the small summary with its sketches, the daily table, the merchants and the moments; from the daily table come the
+card-days and the bitmaps of cities. Most reports are sums over these. Only what needs every row reads the transactions again: the
+column profile, dominant errors, and the two exports of all transactions.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from txrisk.operators import (
     amounts,
     cards,
     categories,
+    city_days,
     enrich,
     errors,
     features,
@@ -28,6 +29,7 @@ from txrisk.operators import (
     rules,
     score,
     sequences,
+    sketches,
     synthesis,
 )
 from txrisk.operators.facts import clean, facts, with_id
@@ -74,24 +76,29 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
     raw = inputs.transactions
     tx = stage(with_id(clean(raw)), "transactions")
     rows = facts(tx)
-    shared = stage_all(summary=summary(rows), daily=indicators.daily(rows), moments=sequences.moments(rows))
-    small, daily, moments = shared["summary"], shared["daily"], shared["moments"]
+    shared = stage_all(summary=summary(rows), daily=indicators.daily(rows), moments=sequences.moments(rows),
+        merchants=categories.merchant_totals(rows), months=sketches.identity_sketches(rows, "tx_month"))
+    small, daily, moments, by_merchant = (shared[n] for n in ("summary", "daily", "moments", "merchants"))
     by_time, by_code = part(small, "time"), part(small, "code")
     by_error, by_amount = part(small, "error"), part(small, "amount")
     groups = features.feature_groups(
         rows, daily, moments, by_code, inputs.codes, inputs.cards, inputs.users, s.as_of, s.decisions, s.floors
     )
-    derived = stage_all(card_days=indicators.card_days(daily), **groups)
-    card_days = derived.pop("card_days")
+    with_cities = city_days.city_days(daily, city_days.numbered_cities(daily))
+    derived = stage_all(card_days=indicators.card_days(daily), cities=with_cities, **groups)
+    card_days, days = derived.pop("card_days"), derived.pop("cities")
     scores = score.risk_scores(card_days, s.weights)
     suspicious = rules.suspicious_cards(card_days, inputs.cards, s.limits)
     named = {
-        "volumetry": profile.volumetry(tx),
+        "volumetry": profile.summed_volumetry(daily, by_merchant),
         "null_profile": profile.null_profile(tx.select(*raw.columns)),
         "quality": profile.quality(tx),
         "type_suspects": profile.type_suspects(raw),
         "schema": profile.describe_schema(raw),
-        "amount_stats": amounts.amount_stats(rows),
+        "amount_stats": sketches.sketched_amount_stats(by_amount),
+        "amount_quantiles": sketches.amount_quantiles(by_code, ["mcc"], (0.25, 0.5, 0.75, 0.95)),
+        "active_by_month": sketches.distinct_identities(shared["months"], "tx_month"),
+        "suspects_by_month": sketches.members_in_groups(shared["months"], suspicious),
         "amount_bands": amounts.amount_bands(by_amount),
         "high_amount_share": amounts.high_amount_share(by_amount),
         "by_hour": activity.by_hour(by_time),
@@ -101,8 +108,8 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
         "category_volume": categories.top_categories(by_code, inputs.codes),
         "category_high_mean": categories.top_category_means(by_code, inputs.codes, floors=s.floors),
         "category_risk": categories.category_risk(by_code, inputs.codes, s.decisions, s.floors),
-        "suspicious_merchants": categories.suspicious_merchants(rows, s.decisions),
-        "merchant_reputation": categories.merchants(rows),
+        "suspicious_merchants": categories.suspicious_merchants(by_merchant, s.decisions),
+        "merchant_reputation": categories.merchants(by_merchant),
         "dominant_error": errors.dominant_errors(rows),
         "error_concentration": errors.error_concentration(rows),
         "error_types": errors.top_error_types(by_error),
@@ -118,7 +125,8 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
         "dark_web_cards": cards.top_dark_web_cards(daily, inputs.cards),
         "new_card_burst": cards.new_card_bursts(daily, inputs.cards, s.as_of, s.decisions),
         "stale_pin": cards.stale_pins(daily, inputs.cards, s.as_of, s.decisions),
-        "card_lifetime": indicators.card_lifetime(daily),
+        "card_lifetime": city_days.card_lifetime(days),
+        "weekly_cities": city_days.weekly_cities(days),
         "weekly_tx": indicators.weekly_tx(daily),
         "online_ratio": indicators.online_ratio(daily),
         "suspicious_count": rules.suspicious_count(suspicious),

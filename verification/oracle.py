@@ -364,6 +364,22 @@ FROM tc LEFT JOIN cards ON card_id = cards.id LEFT JOIN users ON client_id = use
 count(DISTINCT card_id) AS n_cards, count(DISTINCT merchant_id) AS n_merchants,
 {ratio('count(*)', 'count(DISTINCT card_id)')} AS tx_per_card,
 {ratio('count(*)', 'count(DISTINCT client_id)')} AS tx_per_client FROM tx""",
+        "summed_volumetry": f"""{VIEWS} SELECT count(*) AS n_tx, count(DISTINCT client_id) AS n_clients,
+count(DISTINCT card_id) AS n_cards, count(DISTINCT merchant_id) AS n_merchants,
+{ratio('count(*)', 'count(DISTINCT card_id)')} AS tx_per_card,
+{ratio('count(*)', 'count(DISTINCT client_id)')} AS tx_per_client FROM tx""",
+        "amount_medians": f"""{VIEWS} SELECT mcc, count(*) AS n_pos, true AS within_error FROM tx
+WHERE cents > 0 AND mcc IS NOT NULL GROUP BY mcc
+UNION ALL SELECT -1, count(*), true FROM tx WHERE cents > 0 HAVING count(*) > 0""",
+        "amount_stats_sketched": f"""{VIEWS} SELECT {mean('sum(cents)', 'count(*)')} AS mean_amount,
+{units('min(cents)')} AS min_amount, {units('max(cents)')} AS max_amount, true AS median_within_error FROM tx WHERE cents > 0""",
+        "active_by_month": f"""{VIEWS} SELECT {integer('month(ts)')} AS tx_month, count(DISTINCT client_id) AS n_clients,
+count(DISTINCT card_id) AS n_cards, count(DISTINCT merchant_id) AS n_merchants FROM tx GROUP BY 1""",
+        "suspects_by_month": f"""{FLAGGED} SELECT {integer('month(ts)')} AS tx_month,
+count(DISTINCT card_id) FILTER (card_id IN (SELECT card_id FROM susp)) AS n_cards_in,
+count(DISTINCT card_id) FILTER (card_id NOT IN (SELECT card_id FROM susp)) AS n_cards_out FROM tx GROUP BY 1""",
+        "weekly_cities": f"""{VIEWS} SELECT card_id, CAST(date_trunc('week', ts) AS DATE) AS week_start,
+count(DISTINCT city) AS n_cities_all, count(DISTINCT city) FILTER (city <> 'ONLINE') AS n_cities_physical FROM tx GROUP BY 1, 2""",
         "null_profile": null_profile(),
         "quality": quality(),
         "type_suspects": type_suspects(),
@@ -427,6 +443,8 @@ FROM typed GROUP BY card_type""",
         "card_error_ratio": f"{VIEWS} {ratios}",
         "card_error_ratio_top": f"{VIEWS} {ratios} ORDER BY error_ratio DESC, card_id LIMIT 5",
         "card_lifetime": f"""{VIEWS} SELECT card_id, count(*) AS n_tx, {units('sum(cents)')} AS amount_net,
+count(DISTINCT city) AS n_cities, count(DISTINCT day) AS n_days FROM tx GROUP BY card_id""",
+        "card_lifetime_bitmaps": f"""{VIEWS} SELECT card_id, count(*) AS n_tx, {units('sum(cents)')} AS amount_net,
 count(DISTINCT city) AS n_cities, count(DISTINCT day) AS n_days FROM tx GROUP BY card_id""",
         "card_day_indicators": f"{VIEWS} SELECT {SCORE_COLUMNS} FROM carddays",
         "weekly_tx": f"""{VIEWS} SELECT card_id, CAST(date_trunc('week', ts) AS DATE) AS week_start, count(*) AS n_tx

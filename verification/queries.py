@@ -13,6 +13,7 @@ from txrisk.operators import (
     amounts,
     cards,
     categories,
+    city_days,
     enrich,
     errors,
     features,
@@ -22,9 +23,11 @@ from txrisk.operators import (
     rules,
     score,
     sequences,
+    sketches,
     synthesis,
 )
 from txrisk.operators.facts import clean, facts, rollup
+from txrisk.operators.summary import part, summary
 from txrisk.params import CARD_ERROR_BANDS, CLIENT_ERROR_BANDS, BurstRules, DecisionRules, Thresholds
 from txrisk.sources import code_maps, parquet, tables
 from txrisk.sources.workspace import new_folder, stage_all
@@ -224,6 +227,34 @@ def _streamed(name: str, build: Callable[[DataFrame, Given], DataFrame]) -> Quer
     return query
 
 
+def amount_medians(g: Given) -> DataFrame:
+    """Of the medians per code and over all, read off the summary's sketches: whether their ranks keep the stated error."""
+    by_code = part(summary(g.facts), "code")
+    everything = by_code.withColumn("mcc", F.lit(-1))
+    quantiles = sketches.amount_quantiles(by_code.union(everything).filter("mcc IS NOT NULL"), ["mcc"])
+    rows = g.facts.select("mcc", "n_pos", "pos_cents")
+    off = sketches.off_by(rows.union(rows.withColumn("mcc", F.lit(-1))), quantiles, ["mcc"], "p50", 0.5)
+    return quantiles.join(off, "mcc").select("mcc", "n_pos", (F.col("off_by") <= sketches.rank_error()).alias("within_error"))
+
+
+def amount_stats_sketched(g: Given) -> DataFrame:
+    """The statistics of the summary; of its median whether its rank keeps the stated error."""
+    found = sketches.sketched_amount_stats(part(summary(g.facts), "amount")).withColumn("every", F.lit(1))
+    rows = g.facts.select(F.lit(1).alias("every"), "n_pos", "pos_cents")
+    off = sketches.off_by(rows, found, ["every"], "median_amount", 0.5)
+    within = (F.col("off_by") <= sketches.rank_error()).alias("median_within_error")
+    return found.join(off, "every").select("mean_amount", "min_amount", "max_amount", within)
+
+
+def suspects_by_month(g: Given) -> DataFrame:
+    return sketches.members_in_groups(sketches.identity_sketches(g.facts, "tx_month"), g.suspicious())
+
+
+def city_spans(g: Given) -> DataFrame:
+    daily = indicators.daily(g.facts)
+    return city_days.city_days(daily, city_days.numbered_cities(daily))
+
+
 def _exactly(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         with bursts.arbitrary_state(spark):
@@ -234,6 +265,13 @@ def _exactly(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
 
 BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "volumetry": lambda g: profile.volumetry(g.tx),
+    "summed_volumetry": lambda g: profile.summed_volumetry(indicators.daily(g.facts), categories.merchant_totals(g.facts)),
+    "amount_medians": amount_medians,
+    "amount_stats_sketched": amount_stats_sketched,
+    "active_by_month": lambda g: sketches.distinct_identities(sketches.identity_sketches(g.facts, "tx_month", "tx_date"), "tx_month"),
+    "suspects_by_month": suspects_by_month,
+    "card_lifetime_bitmaps": lambda g: city_days.card_lifetime(city_spans(g)),
+    "weekly_cities": lambda g: city_days.weekly_cities(city_spans(g)),
     "null_profile": lambda g: profile.null_profile(g.raw),
     "quality": lambda g: profile.quality(g.tx),
     "type_suspects": lambda g: profile.type_suspects(inferred(g)),
