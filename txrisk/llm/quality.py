@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 from collections.abc import Iterator
@@ -131,11 +132,21 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> D
     return stage(texts.select(F.xxhash64("doc_id").alias("h"), "doc_id", F.unhex(F.md5("text")).alias("digest"), "text", "quality"), "sample")
 
 
+def prior_shift(labels: DataFrame, per_class: int = TRAIN_DOCS) -> float:
+    """What the curve's offset lacks where :func:`sample` takes a smaller share of one class than of the other: the log ratio of
+    the shares. 0 where no class has more than ``per_class`` ids."""
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("doc_id IS NOT NULL").distinct()
+    counts = {r["quality"]: r["n"] for r in known.filter("quality IN (0, 1)").groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    more = {y: math.log(max(1.0, counts.get(y, 0) / per_class)) for y in (0, 1)}
+    return more[1] - more[0]
+
+
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Model | None:
     """The model that :func:`train` makes of the texts of :func:`sample`, which stay in Spark tasks.
 
     To the driver come up to ``SAMPLE_BLOCKS`` blocks of 2 KiB from all over each text for the dictionaries, and for the curve the
-    gain of each whole text that the dictionaries have not seen. At most ``4 * per_class`` rows take part, the first by the
+    gain of each whole text that the dictionaries have not seen. Scores have the level of the classes' true counts, see :func:`prior_shift`. Rows with a NULL
+    and qualities other than 0 and 1 are left out, an id with both counts as both, one that repeats in ``labels`` once. At most ``4 * per_class`` rows take part, the first by the
     hash of the id (ids may repeat in ``docs``).
     """
     rows, key = sample(docs, labels, per_class), ("h", "doc_id", "digest", "quality")
@@ -164,7 +175,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Mo
     # rows that agree in id, text and label count once
     rated = rows.mapInArrow(rate, extended(rows, key, "gain double")).distinct().select("quality", "gain").collect()
     rated = sorted((r["quality"], r["gain"]) for r in rated)
-    return Model(good, bad, *calibrate(np.array([g for _, g in rated]), np.array([float(y) for y, _ in rated])))
+    slope, offset = calibrate(np.array([g for _, g in rated]), np.array([float(y) for y, _ in rated]))
+    return Model(good, bad, slope, offset + prior_shift(labels, per_class))
 
 
 def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
