@@ -71,6 +71,30 @@ def test_known_texts_are_dropped(spark, odd):
     assert exact_dedup.keep_first(odd, again).isEmpty()
 
 
+def test_a_batch_that_is_repeated_gives_the_same_rows(spark, odd):
+    """As after a job that failed behind the append."""
+    index = exact_dedup.DigestIndex(spark)
+    old = odd.filter("doc_id = 5")
+    exact_dedup.exact_dedup(old, index, "old").count()
+    first = sorted(map(str, exact_dedup.exact_dedup(odd, index, "new").collect()))
+    size = index.read().count()
+    assert sorted(map(str, exact_dedup.exact_dedup(odd, index, "new").collect())) == first and index.read().count() == size
+    assert sum("kept=True" in r for r in first) == exact_dedup.exact_dedup(odd).filter("kept").count() - 1
+    assert exact_dedup.exact_dedup(odd, index, "later").filter("kept").count() == 0
+
+
+CLASHES = ("__key", "__maybe", "COPY", "__place", "__copies", "__rate", "__source", "Row", "gone", "again", "told", "rate")
+
+
+def test_stages_keep_columns_of_any_name(spark, odd):
+    clashing = stage(odd.drop("row", "copy").withColumns({c: F.lit(f"own {c}") for c in CLASHES}), "clashing")
+    docs = clashing
+    for _, step in corpus_pipeline.STAGES:
+        docs = stage(step(spark, docs, "/root/testdata/sf0.001"), "stage")
+    assert docs.columns == [*clashing.columns, "copy_"] and docs.count() > 0
+    assert docs.select(*CLASHES).distinct().collect() == [tuple(f"own {c}" for c in CLASHES)]
+
+
 def test_language(spark, docs):
     model = language_id.train([("en", "the cat sat on the mat".split()), ("de", "die katze auf der matte".split())] * 10)
     for m in (model, None):
@@ -106,6 +130,20 @@ def test_quality(docs):
     assert b"".join(quality.blocks(b"x" * 5001)) == b"x" * 5001
 
 
+def test_quality_level_does_not_follow_the_cap(spark):
+    """Of the texts nine in ten are good, also if the sample has as many bad ones; odd labels are left out."""
+    dice = random.Random(4)
+    word = lambda kind: "".join(dice.choices("abcdefgh" if kind else "stuvwxyz", k=5))
+    texts = [(i, " ".join(word(dice.random() < (0.56 if i % 10 else 0.44)) for _ in range(120))) for i in range(600)]
+    docs = spark.createDataFrame(texts + [(None, "x"), (1000, "")], "doc_id long, text string")
+    given = [(i, int(i % 10 > 0)) for i, _ in texts] + [(1, 1), (None, 1), (2, None), (3, 7), (1000, 0)]
+    labels = spark.createDataFrame(given, "doc_id long, quality int").withColumn("text", F.lit("clash"))
+    means = [quality.score(docs, quality.learn(docs, labels, cap)).filter("doc_id < 1000").agg(F.avg("score")).first()[0] for cap in (quality.TRAIN_DOCS, 61)]
+    assert abs(means[0] - 0.9) < 0.04 and abs(means[0] - means[1]) < 0.06
+    assert quality.prior_shift(labels, 1000) == 0
+    assert quality.learn(docs.filter("false"), labels) is None and quality.learn(docs, labels.filter("false")) is None
+
+
 def test_quality_is_learned_from_whole_texts(spark, tmp_path):
     """Texts with one long beginning, which differ only behind it."""
     dice = random.Random(3)

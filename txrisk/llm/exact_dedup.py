@@ -22,7 +22,8 @@ def digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A table ``(digest, keep_id)`` of all texts seen so far, bucketed and sorted by digest.
+    """A table ``(digest, keep_id, batch)`` of all texts seen so far, bucketed and sorted by digest; ``batch`` names the arrival
+    that a text came with.
 
     It lives in a folder (by default a new one in the shared folder) under a name in the session's catalog, so a later
     session opens it again by ``DigestIndex(spark, folder)``.
@@ -32,7 +33,7 @@ class DigestIndex:
         self.spark, self.folder = spark, folder or new_folder(spark, "digests")
         self.name = f"digests_{uuid.uuid4().hex}"
         spark.sql(
-            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.folder}'"
         )
         self.buckets = buckets
@@ -40,15 +41,15 @@ class DigestIndex:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def append(self, groups: DataFrame) -> None:
+    def append(self, groups: DataFrame, batch: str) -> None:
         """Add ``(digest, keep_id)`` rows, whose digests are not in the index yet."""
         (
-            groups.select("digest", "keep_id").repartition(self.buckets, "digest")
+            groups.select("digest", "keep_id", F.lit(batch).alias("batch")).repartition(self.buckets, "digest")
             .write.bucketBy(self.buckets, "digest").sortBy("digest").format("parquet").mode("append").saveAsTable(self.name)
         )
 
 
-def _decided(docs: DataFrame, index: DigestIndex | None) -> tuple[DataFrame, DataFrame]:
+def _decided(docs: DataFrame, index: DigestIndex | None, batch: str | None) -> tuple[DataFrame, DataFrame]:
     """``doc_id, digest, n`` of the rows, and ``digest, keep_id, keep_n, group_size, told`` of the groups in which one may go. What is
     new is appended to the index."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -60,17 +61,19 @@ def _decided(docs: DataFrame, index: DigestIndex | None) -> tuple[DataFrame, Dat
         "groups",
     )
     index = index or DigestIndex(docs.sparkSession)
-    fresh = stage(groups.hint("merge").join(index.read().hint("merge").select("digest"), "digest", "left_anti"), "fresh")
+    batch = batch or uuid.uuid4().hex
+    before, again = (index.read().filter(test) for test in (F.col("batch") != batch, F.col("batch") == batch))
+    fresh = stage(groups.hint("merge").join(before.hint("merge").select("digest"), "digest", "left_anti"), "fresh")
     known = (
-        groups.hint("merge").join(index.read().withColumnRenamed("keep_id", "known_id"), "digest")
+        groups.hint("merge").join(before.select("digest", F.col("keep_id").alias("known_id")), "digest")
         .select("digest", F.col("known_id").alias("keep_id"), F.lit(None).cast("int").alias("keep_n"), "group_size")
     )
     told = stage(fresh.filter("group_size > 1").unionByName(known), "told").withColumn("told", F.lit(True))
-    index.append(fresh)
+    index.append(fresh.hint("merge").join(again.hint("merge").select("digest"), "digest", "left_anti"), batch)
     return rows, told
 
 
-def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """Decide for every document whether it stays.
 
     Returns ``doc_id, keep_id, group_size, kept, text_sha256``, one row per row of ``docs`` (columns ``doc_id, text``;
@@ -78,12 +81,14 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     with the most code points stays, then the smallest ``doc_id`` (NULL ids last); if several rows share that id
     and length, all are reported as kept. ``group_size`` counts the new rows. Texts that ``index`` knows already are
     dropped for the id it holds; the others are appended to it. NULL text is an empty one. An empty table gives no rows.
+    The index is appended to before the result is written; a job that fails in between is repeated with the same name ``batch``, whose
+    own texts do not count as known, and gives the same rows (by default each call is a batch of its own).
 
     New digests are written once, 56 bytes each. The group of a text is summed before it is shuffled; a sort-merge
     anti-join with the index finds what is new. Only groups of several rows, or known ones, are joined back to
     the rows, where adaptive execution can split the rows of one very frequent text.
     """
-    rows, told = _decided(docs, index)
+    rows, told = _decided(docs, index, batch)
     joined = rows.join(told, "digest", "left")
     alone = F.col("told").isNull()
     return joined.select(
@@ -95,13 +100,13 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def keep_first(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns; exactly one for each text that is new. Of
     rows that agree in id, length and text without blanks, one stays. Only rows that may have copies are shuffled."""
-    _, told = _decided(docs, index)
-    names = {c: f"__{c}" for c in told.columns}
-    held = flag_members(docs.withColumn("__key", digest(F.col("text"))), F.col("__key"), told, F.col("digest"))
-    some = held.filter("__maybe").join(told.withColumnsRenamed(names), F.col("__key") == F.col("__digest"), "left")
-    is_first = F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.length(F.coalesce("text", F.lit(""))) == F.col("__keep_n"))
-    firsts = some.filter(F.col("__told") & is_first).dropDuplicates(["__key"])
-    return held.filter("NOT __maybe").select(*docs.columns).union(some.filter(F.col("__told").isNull()).union(firsts).select(*docs.columns))
+    _, told = _decided(docs, index, batch)
+    rows = docs.select(F.struct("*").alias("row"), digest(F.col("text")).alias("key"))
+    held = flag_members(rows, F.col("key"), told, F.col("digest"))
+    some = held.filter("__maybe").join(told, F.col("key") == F.col("digest"), "left")
+    is_first = F.col("row.doc_id").eqNullSafe(F.col("keep_id")) & (F.length(F.coalesce("row.text", F.lit(""))) == F.col("keep_n"))
+    firsts = some.filter(F.col("told") & is_first).dropDuplicates(["key"])
+    return held.filter("NOT __maybe").select("row.*").union(some.filter(F.col("told").isNull()).union(firsts).select("row.*"))

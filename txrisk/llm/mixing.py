@@ -83,15 +83,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX
     """
     sizes = docs.groupBy("source").agg(F.sum(n_words(F.col("text"))).alias("source_size"))
     goals = stage(targets(sizes, weights, max_rate), "targets").select(
-        F.col("source").alias("__source"),
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("__rate"),
+        "source", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate")
     )
     name = "copy"
-    while name in docs.columns:
+    while name in map(str.lower, docs.columns):
         name += "_"
-    extra = drawn(F.col("doc_id"), seed) < F.col("__rate") - F.floor("__rate")
-    copies = (F.floor("__rate") + extra.cast("long")).cast("int")
+    extra = drawn(F.col("row.doc_id"), seed) < F.col("rate") - F.floor("rate")
+    copies = (F.floor("rate") + extra.cast("long")).cast("int")
+    rows = docs.select(F.struct("*").alias("row"))
     return (
-        docs.join(goals, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__copies", copies).filter("__copies > 0")
-        .withColumn(name, F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns, name)
+        rows.join(goals, F.col("row.source").eqNullSafe(F.col("source"))).select("row", copies.alias("copies")).filter("copies > 0")
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("nth")).select("row.*", F.col("nth").alias(name))
     )
