@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm.fm_index import FMIndex
-from txrisk.llm.tables import extended
+from txrisk.llm.memory import tidy
+from txrisk.llm.tables import column, extended
 
 #: Words are runs of digits, letters a to z (of either case) and characters beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -140,10 +141,10 @@ def _shards(texts: list[bytes]) -> Iterator[slice]:
         yield slice(at, len(texts))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: int = WINDOW, text: str = "text") -> DataFrame:
     """``n_words, n_hit, n_items, items_sha256, contaminated, spans`` beside the columns ``keep`` of ``docs``.
 
-    ``docs`` has ``text``, ``benchmark`` has ``item_id, text``. A window is ``width`` consecutive words of an item, or all
+    ``docs`` has ``text`` (or a struct with it in ``keep``: ``row.text``), ``benchmark`` has ``item_id, text``. A window is ``width`` consecutive words of an item, or all
     words of a shorter item; items without words have none. ``n_hit`` counts the document's words inside an occurrence of a
     window, ``spans`` holds the merged runs of such words as (start, end) in words, ``n_items`` the items whose windows
     occur. A document is contaminated if ``n_hit > 0`` and ``20 * n_hit >= n_words``. NULL texts have no words. Without
@@ -155,12 +156,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     parts = read_phrases(benchmark)
     counts = ["n_words long", "n_hit long", "n_items long", "items_sha256 string", "contaminated boolean"]
     carried = ["spans array<array<int>>", "__items array<string>"]
-    now = docs.select(*keep, "text")
+    apart = [] if "." in text else [text]
+    now = docs.select(*keep, *apart)
 
     def step(phrases: Phrases, first: bool, last: bool):
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = [t or b"" for t in batch["text"].cast(pa.large_binary()).to_pylist()]
+                texts = [t or b"" for t in column(batch, text).cast(pa.large_binary()).to_pylist()]
                 n_words, spans, items = [], [], []
                 for shard in _shards(texts):
                     a, b, c = search(texts[shard], phrases, width)
@@ -179,7 +182,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
                     made["items_sha256"] = pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items], pa.string())
                     made["contaminated"] = pa.array([h > 0 and SHARE * h >= n for h, n in zip(n_hit, n_words)], pa.bool_())
                 else:
-                    made["text"] = batch["text"]
+                    made |= {c: batch[c] for c in apart}
                     made["__items"] = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
                 made["spans"] = pa.array(spans, pa.list_(pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_pydict(made)
@@ -188,7 +191,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
 
     for i, phrases in enumerate(parts):
         last = i == len(parts) - 1
-        made = counts + carried[:1] if last else ["text string", carried[1], carried[0]]
+        made = counts + carried[:1] if last else [*(f"{c} string" for c in apart), carried[1], carried[0]]
         now = now.mapInArrow(step(phrases, i == 0, last), extended(now, keep, ", ".join(made)))
     return now
 

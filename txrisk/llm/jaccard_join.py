@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from txrisk.llm.components import components
+from txrisk.llm.memory import release, tidy
 from txrisk.llm.shingles import WordHashes, shingle_sets
 from txrisk.sources.workspace import stage
 
@@ -39,6 +40,7 @@ def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
     choose the order in which prefixes are taken; the join is exact for any order.
     """
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, size = WordHashes(), [], 0
 
@@ -117,6 +119,7 @@ def prefixes(docs: DataFrame, width: int, similarity: tuple[int, int]) -> DataFr
     frequent = frequent_shingles(docs, width)
     kind = dict(docs.dtypes)["doc_id"]
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = WordHashes(), set()
         for batch in batches:
@@ -168,6 +171,7 @@ def filtered(pairs: DataFrame, rows: DataFrame, similarity: tuple[int, int]) ->
     x, y = (sketches.select(F.col("node").alias(k), F.col("sketch").alias(f"s{k}")) for k in "xy")
     held = pairs.join(x, "x").join(y, "y").select("x", "y", (F.col("nx") + F.col("ny")).alias("both"), "sx", "sy")
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = (batch[c].to_pylist() for c in ("sx", "sy", "both"))
@@ -266,6 +270,7 @@ def sets_of(docs: DataFrame, rows: DataFrame, of_node: DataFrame, width: int) ->
     reps = stage(rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "reps")
     bits = _bits(reps)
 
+    @tidy
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
@@ -289,7 +294,10 @@ def verify(sets: DataFrame, across: DataFrame, similarity: tuple[int, int]) -> D
         held = [np.asarray(t.values).view(np.uint64) for t in unit["tokens"].chunk(0)]
         nodes = unit["node"].to_numpy()
         pairs = np.array(linked(held, unit["side"].to_numpy(), similarity), np.int64).reshape(-1, 2)
-        return pa.table({"x": nodes[pairs[:, 0]], "y": nodes[pairs[:, 1]]})
+        found = pa.table({"x": nodes[pairs[:, 0]], "y": nodes[pairs[:, 1]]})
+        del unit, held
+        release()
+        return found
 
     within = sets.select("block", F.lit(0).alias("side"), "node", "tokens").groupBy("block").applyInArrow(check, "x long, y long")
     sides = [

@@ -13,7 +13,8 @@ from pyspark.sql.window import Window
 
 from txrisk.llm.crf import ENDS, TOKENS, Labeller, Model, pieces
 from txrisk.llm.crf import train as train_crf
-from txrisk.llm.tables import extended
+from txrisk.llm.memory import tidy
+from txrisk.llm.tables import column, extended
 
 #: The sample that the model learns from: documents of each language and sentences of each document. These bound it.
 TRAIN_DOCS = 1200
@@ -81,20 +82,22 @@ def train(sentences: list[tuple[str, list[str]]], seed: int = 1) -> Model | None
     return train_crf(chains, labels)
 
 
-def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``lang_pred, score, n_words`` beside the columns ``keep`` of ``docs``, from its column ``text`` alone.
+def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """``lang_pred, score, n_words`` beside the columns ``keep`` of ``docs``, from its column ``text`` alone, which may be a field of
+    a struct in ``keep`` (``row.text``).
 
     Every word gets label probabilities by forward-backward over its chain (a sentence, cut after 48 words); a text's
     language is the one with the largest sum, ties going to the first by name, and ``score`` its share of all. Texts that are
     NULL or have no letter, and all texts if there is no model, are ``und`` with score 0 (of 0 words). One pass without a
     shuffle; a task holds one batch of rows and the chains of about 100,000 words.
     """
-    kept = docs.select(*keep, "text")
+    kept = docs.select(*keep, *([] if "." in text else [text]))
 
+    @tidy
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model) if model else None
         for batch in batches:
-            texts = batch["text"].to_pylist()
+            texts = column(batch, text).to_pylist()
             sums = labeller.sums(texts) if labeller else np.zeros((len(texts), 1))
             total, best = sums.sum(1), sums.argmax(1)
             names = [model.labels[b] if t > 0 else UNDETERMINED for b, t in zip(best, total)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,8 +23,18 @@ def extended(rows: DataFrame, keep: tuple[str, ...], made: str) -> StructType:
 
 
 def whole_rows(docs: DataFrame) -> DataFrame:
-    """``row``, a struct of all columns, beside ``doc_id, source, text``: operators may then add columns of any name."""
-    return docs.select(F.struct("*").alias("row"), "doc_id", "source", "text")
+    """``row``, a struct of all columns: operators may then add columns of any name, and find the text in ``row.text``, so that it
+    goes to Python once."""
+    return docs.select(F.struct("*").alias("row"))
+
+
+def column(batch: pa.RecordBatch, path: str) -> pa.Array:
+    """A column of a batch, or the field of a struct without NULLs, as in ``row.text``."""
+    first, *fields = path.split(".")
+    found = batch[first]
+    for name in fields:
+        found = found.field(name)
+    return found
 
 
 #: Bits of a membership filter: 4 MB, whatever it is made from.
@@ -31,7 +42,7 @@ FILTER_BITS = 1 << 25
 
 
 def flag_members(rows: DataFrame, key: Column, members: DataFrame, member: Column) -> DataFrame:
-    """``rows`` with a column ``__maybe`` that is false only where ``key`` is no ``member``.
+    """``rows``, which has no column that begins with ``__``, with a column ``__maybe`` that is false only where ``key`` is no ``member``.
 
     A bitmap of hashes is joined to the rows: 1024 rows of 4 KB at most, so broadcasting it has a fixed bound. What is not
     flagged needs no join with the members; when the bitmap is full, all rows are flagged and the join that follows does the work.
