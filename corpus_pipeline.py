@@ -17,22 +17,19 @@ from txrisk.llm import decontaminate, exact_dedup, jaccard_join, language_id, mi
 from txrisk.llm.tables import flag_members, table, whole_rows
 from txrisk.sources.workspace import new_folder, stage
 
-#: A text whose best language has less than this share of its words' probability is rejected.
-LEAST_SHARE = 0.4
-
 #: No stage after the first can be compared without it, and a field's probabilities are not SQL.
 ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts in no language: ``und``, or without one that has ``LEAST_SHARE`` of the words. The field learns from the
-    rows' own ``lang``; texts without a label are identified like all others. Without any label all texts with a
-    letter stay."""
+    """Drops texts in no language, ``und``: NULL, or without a letter. Texts in several languages stay, whatever the share of each. The
+    field learns from the rows' own ``lang``; texts without a label are identified like all others. Without any label
+    all texts with a letter stay."""
     model = language_id.train(language_id.sample(docs))
     if model is None:
         return docs.filter(F.col("text").rlike("\\p{L}"))
-    named = language_id.identify(whole_rows(docs), model, ("row",))
-    return named.filter((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)).select("row.*")
+    named = language_id.identify(whole_rows(docs), model, ("row",), "row.text")
+    return named.filter(F.col("lang_pred") != language_id.UNDETERMINED).select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,19 +43,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows that agree in id and text one stays."""
     key = F.struct("doc_id", F.md5("text").alias("md5"))
     found = stage(jaccard_join.near_duplicates(docs.select(key.alias("doc_id"), "text")), "near-copies")
-    gone = stage(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    again = stage(found.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__again")), "repeated")
-    of_row = F.struct("doc_id", F.md5("text"))
-    held = flag_members(docs, key, gone.union(again), F.col("__gone"))
-    some = held.filter("__maybe").join(gone, of_row.eqNullSafe(F.col("__gone")), "left_anti")
-    same = of_row.eqNullSafe(F.col("__again"))
-    single, repeated = some.join(again, same, "left_anti"), some.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return held.filter("NOT __maybe").union(single).union(repeated).select(*docs.columns)
+    gone = stage(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    again = stage(found.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("again")), "repeated")
+    held = flag_members(docs.select(F.struct("*").alias("row"), key.alias("key")), F.col("key"), gone.union(again), F.col("gone"))
+    some = held.filter("__maybe").join(gone, F.col("key").eqNullSafe(F.col("gone")), "left_anti")
+    same = F.col("key").eqNullSafe(F.col("again"))
+    single, repeated = some.join(again, same, "left_anti"), some.join(again, same, "left_semi").dropDuplicates(["key"])
+    return held.filter("NOT __maybe").union(single).union(repeated).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth of the words or more stands in windows of benchmark items."""
-    found = decontaminate.contamination(whole_rows(docs), table(spark, sf_dir, "benchmark"), ("row",))
+    found = decontaminate.contamination(whole_rows(docs), table(spark, sf_dir, "benchmark"), ("row",), text="row.text")
     return found.filter(~F.col("contaminated")).select("row.*")
 
 
