@@ -66,6 +66,10 @@ def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
     return tokens[order], np.array([r["n"] for r in top], np.int64)[order]
 
 
+#: After a unit of verification over this size a task gives memory back; after each small one it would cost more than the unit.
+RELEASED_BYTES = 1 << 23
+
+
 def prefix_of(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: tuple[int, int]) -> tuple[np.ndarray, int, int]:
     """A set's prefix, how much of it serves as the smaller side's, and how many of its shingles a partner must share.
 
@@ -295,8 +299,9 @@ def verify(sets: DataFrame, across: DataFrame, similarity: tuple[int, int]) -> D
         nodes = unit["node"].to_numpy()
         pairs = np.array(linked(held, unit["side"].to_numpy(), similarity), np.int64).reshape(-1, 2)
         found = pa.table({"x": nodes[pairs[:, 0]], "y": nodes[pairs[:, 1]]})
-        del unit, held
-        release()
+        if unit.nbytes > RELEASED_BYTES:
+            del unit, held
+            release()
         return found
 
     within = sets.select("block", F.lit(0).alias("side"), "node", "tokens").groupBy("block").applyInArrow(check, "x long, y long")
