@@ -114,3 +114,30 @@ def test_files_with_another_order_of_columns_are_refused(spark, tmp_path):
     write(folder / "b.csv", "client_id,id,card_type", "20,2,Credit")
     with pytest.raises(Exception, match="CSV header does not conform to the schema"):
         tables.read_cards(spark, str(folder)).collect()
+
+
+def test_a_batch_that_is_appended_again_counts_once(spark, tmp_path, rows):
+    path = str(tmp_path / "batches")
+    batch = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    parquet.append_once(batch(1, 2), path, "a")
+    for again in ((3,), (3, 4), (3, 4)):
+        parquet.append_once(batch(*again), path, "2024-01-01")
+    assert rows(parquet.read_appended(spark, path)) == [(1,), (2,), (3,), (4,)]
+    parquet.append_once(batch(), path, "a")
+    assert parquet.read_appended(spark, path).count() == 4
+    with pytest.raises(ValueError):
+        parquet.append_once(spark.createDataFrame([(1, "x")], "id long, batch string"), path, "b")
+
+
+def test_profile_of_rows_that_pass_by(spark, build, rows):
+    from txrisk.operators import profile
+    from txrisk.operators.facts import clean
+
+    raw = build.raw({"amount": "?"}, {"date": "", "mcc": None}, {"errors": "x", "amount": "-$1"}, {"date": "yesterday"})
+    for given in (raw, raw.filter("false")):
+        tx = clean(given.withColumn("a.b", F.lit(None).cast("string")))
+        seen = profile.Observed(tx, [*given.columns, "a.b"])
+        workspace.stage(seen.rows.drop("a.b"), "seen")
+        names = [c for c in rows(seen.null_profile()) if c[0] != "a.b"]
+        assert names == rows(profile.null_profile(given))
+        assert rows(seen.quality()) == rows(profile.quality(clean(given)))

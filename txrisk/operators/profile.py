@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,8 +18,9 @@ def describe_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "ordinal int, name string, type string")
 
 
-def preview(df: DataFrame, rows: int = 10) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 10, by: str | None = None) -> DataFrame:
+    """Some rows, or the first ones by a column."""
+    return (df if by is None else df.orderBy(by)).limit(rows)
 
 
 def _distinct_with_null(name: str):
@@ -81,6 +84,38 @@ def _per_column(df: DataFrame, measures: dict[str, dict], names: list[str], labe
     return df.agg(F.count("*").alias("n_rows"), *flat).select("n_rows", F.inline(rows))
 
 
+class Observed:
+    """:func:`null_profile` and :func:`quality` of the rows that a job passes through anyway: no scan of their own.
+
+    Give :attr:`rows` to the job that writes the table, then ask for the reports; before that they wait for it. One row of counts comes
+    to the driver. Names of columns may be any.
+    """
+
+    def __init__(self, tx: DataFrame, columns: list[str], name: str = "profile"):
+        self.spark, self.columns = tx.sparkSession, list(columns)
+        self.observation = Observation(f"{name}-{uuid.uuid4().hex}")
+        missing = [F.count_if(C.is_missing(_named(c))).alias(f"missing_{i}") for i, c in enumerate(self.columns)]
+        issues = [F.count_if(F.coalesce(test, F.lit(False))).alias(f"issue_{name}") for name, test in _issues().items()]
+        self.rows = tx.observe(self.observation, F.count(F.lit(1)).alias("n_rows"), *missing, *issues)
+
+    def _report(self, key: str, count: str, share: str, counts: dict[str, int]) -> DataFrame:
+        n = self.observation.get["n_rows"]
+        made = self.spark.createDataFrame([(k, v, n) for k, v in counts.items()], f"{key} string, {count} bigint, n_rows bigint")
+        return made.select(key, count, percent(F.col(count), F.col("n_rows")).alias(share))
+
+    def null_profile(self) -> DataFrame:
+        found = self.observation.get
+        return self._report("column_name", "n_missing", "pct_missing", {c: found[f"missing_{i}"] for i, c in enumerate(self.columns)})
+
+    def quality(self) -> DataFrame:
+        found = self.observation.get
+        return self._report("issue", "n_tx", "pct_tx", {name: found[f"issue_{name}"] for name in _issues()})
+
+
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """NULL or empty values of every column, in a single pass over the table."""
     names = df.columns
@@ -92,15 +127,19 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def quality(tx: DataFrame) -> DataFrame:
-    """Counts of doubtful rows. ``tx`` is the cleaned table; bad text is text that did not parse."""
-    issues = {
+def _issues() -> dict[str, Column]:
+    return {
         "non_positive_amount": F.col("amount_clean") <= 0,
         "missing_mcc": C.is_missing(F.col("mcc")),
         "with_error": C.has_error(F.col("errors")),
         "unparsed_amount": ~C.is_missing(F.col("amount")) & F.col("amount_clean").isNull(),
         "unparsed_date": ~C.is_missing(F.col("date")) & F.col("tx_ts").isNull(),
     }
+
+
+def quality(tx: DataFrame) -> DataFrame:
+    """Counts of doubtful rows. ``tx`` is the cleaned table; bad text is text that did not parse."""
+    issues = _issues()
     counted = _per_column(
         tx,
         {"n_tx": {name: F.count_if(F.coalesce(test, F.lit(False))) for name, test in issues.items()}},

@@ -2,8 +2,8 @@
 
 The text input is parsed once, into typed Parquet. Three tables are then summed from it and written:
 the small summary with its sketches, the daily table, the merchants and the moments; from the daily table come the
-card-days and the bitmaps of cities. Most reports are sums over these. Only what needs every row reads the transactions again: the
-column profile, dominant errors, and the two exports of all transactions.
+card-days and the bitmaps of cities. Most reports are sums over these. The column profile is counted while the
+transactions are written. Only what needs every row reads them again: dominant errors, and the two exports of all transactions.
 """
 
 from __future__ import annotations
@@ -74,7 +74,8 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
     """Every report by name. Writes the shared tables; the reports themselves are still to be run."""
     s = settings
     raw = inputs.transactions
-    tx = stage(with_id(clean(raw)), "transactions")
+    observed = profile.Observed(clean(raw), raw.columns)
+    tx = stage(with_id(observed.rows), "transactions")
     rows = facts(tx)
     shared = stage_all(summary=summary(rows), daily=indicators.daily(rows), moments=sequences.moments(rows),
         merchants=categories.merchant_totals(rows), months=sketches.identity_sketches(rows, "tx_month"))
@@ -91,8 +92,8 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
     suspicious = rules.suspicious_cards(card_days, inputs.cards, s.limits)
     named = {
         "volumetry": profile.summed_volumetry(daily, by_merchant),
-        "null_profile": profile.null_profile(tx.select(*raw.columns)),
-        "quality": profile.quality(tx),
+        "null_profile": observed.null_profile(),
+        "quality": observed.quality(),
         "type_suspects": profile.type_suspects(raw),
         "schema": profile.describe_schema(raw),
         "amount_stats": sketches.sketched_amount_stats(by_amount),

@@ -18,6 +18,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
         df.write.mode(mode).parquet(path)
 
 
+def append_once(df: DataFrame, path: str, batch: str, column: str = "batch") -> None:
+    """Add the rows of ``batch`` to a table that has a folder for each batch. The same batch written again replaces its rows, so a job
+    that is repeated adds them once; other batches are not touched. A batch without rows changes nothing.
+
+    Readers see ``column`` with the name of the batch; see :func:`read_appended`.
+    """
+    if column in df.columns:
+        raise ValueError(f"the rows have a column {column}")
+    tagged = df.withColumn(column, F.lit(batch))
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def read_appended(spark: SparkSession, path: str, column: str = "batch") -> DataFrame:
+    """All batches of :func:`append_once`, without their names."""
+    return spark.read.parquet(path).drop(column)
+
+
 def read_scores(spark: SparkSession, path: str, above: int | None = None) -> DataFrame:
     """Saved risk scores; the filter is pushed into the scan."""
     scores = spark.read.parquet(path)

@@ -508,6 +508,13 @@ strftime(opened, '%m/%Y') AS acct_open_date, {integer('pin_year')} AS year_pin_l
         "users_csv": f"""{VIEWS} SELECT id, {integer('age')} AS current_age, gender, '$' || income AS yearly_income,
 score AS credit_score, {integer('n_cards')} AS num_credit_cards FROM users""",
         "scores_appended": f"{VIEWS} {score_rows}",
+        "scores_appended_once": f"{VIEWS} {score_rows}",
+        "observed_null_profile": null_profile(),
+        "observed_quality": quality(),
+        "schema": """SELECT CAST(o AS INTEGER) AS ordinal, n AS name, t AS type FROM (VALUES (1, 'id', 'bigint'), (2, 'date', 'string'),
+(3, 'client_id', 'bigint'), (4, 'card_id', 'bigint'), (5, 'amount', 'string'), (6, 'merchant_id', 'bigint'), (7, 'merchant_city', 'string'),
+(8, 'zip', 'string'), (9, 'mcc', 'int'), (10, 'errors', 'string')) AS listed(o, n, t)""",
+        "preview": f"""{VIEWS} SELECT id, client_id, card_id, merchant_id, city AS merchant_city, zip, mcc FROM tx ORDER BY id LIMIT 10""",
         "suspicious_cards_saved": f"{FLAGGED} SELECT * FROM susp",
         "enriched_saved": f"""{VIEWS} SELECT day AS tx_date, category AS merchant_category, count(*) AS n_tx,
 {units('sum(cents)')} AS amount_net FROM tc GROUP BY 1, 2""",

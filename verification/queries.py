@@ -30,7 +30,7 @@ from txrisk.operators.facts import clean, facts, rollup
 from txrisk.operators.summary import part, summary
 from txrisk.params import CARD_ERROR_BANDS, CLIENT_ERROR_BANDS, BurstRules, DecisionRules, Thresholds
 from txrisk.sources import code_maps, parquet, tables
-from txrisk.sources.workspace import new_folder, stage_all
+from txrisk.sources.workspace import new_folder, stage, stage_all
 from txrisk.streaming import bursts
 from txrisk.streaming import cards as streaming
 from verification import adapter
@@ -167,6 +167,22 @@ def scores_appended(g: Given) -> DataFrame:
     return parquet.read_scores(g.spark, folder)
 
 
+def scores_appended_once(g: Given) -> DataFrame:
+    """Two batches, the second written twice, as by a job that is repeated."""
+    folder, even = new_folder(g.spark, "risk-scores-once"), F.col("card_id") % 2 == 0
+    parquet.append_once(g.scores.filter(even), folder, "even")
+    for _ in range(2):
+        parquet.append_once(g.scores.filter(~even), folder, "odd")
+    return parquet.read_appended(g.spark, folder)
+
+
+def observed(g: Given) -> profile.Observed:
+    """Counted while the transactions are written."""
+    seen = profile.Observed(g.tx, g.raw.columns)
+    stage(seen.rows, "observed")
+    return seen
+
+
 def cards_csv(g: Given) -> DataFrame:
     folder = new_folder(g.spark, "cards")
     g.cards.write.option("header", True).csv(folder)
@@ -344,6 +360,11 @@ BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "csv_roundtrip": csv_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
     "scores_appended": scores_appended,
+    "scores_appended_once": scores_appended_once,
+    "observed_null_profile": lambda g: observed(g).null_profile(),
+    "observed_quality": lambda g: observed(g).quality(),
+    "schema": lambda g: profile.describe_schema(g.raw),
+    "preview": lambda g: profile.preview(g.raw, by="id").select("id", "client_id", "card_id", "merchant_id", "merchant_city", "zip", "mcc"),
     "cards_csv": cards_csv,
     "users_csv": users_csv,
     "suspicious_cards_saved": suspicious_saved,
