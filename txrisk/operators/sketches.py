@@ -64,7 +64,11 @@ def sketched_amount_stats(sketched: DataFrame) -> DataFrame:
 def off_by(values: DataFrame, quantiles: DataFrame, keys: Sequence[str], name: str, rank: float) -> DataFrame:
     """By how much the rank of ``quantiles[name]`` misses ``rank``, per group: the share of rows between them, 0 if the value's
     rows cover it. ``values`` are facts; one pass over those with a positive amount."""
-    joined = values.filter("n_pos > 0").join(quantiles.select(*keys, name), list(keys))
+    positive = values.filter("n_pos > 0")
+    if keys:
+        joined = positive.join(quantiles.select(*keys, name), list(keys))
+    else:
+        joined = positive.withColumn(name, quantiles.select(name).scalar())
     cents = F.round(F.col(name) * 100).cast("long")
     below = F.sum((F.col("pos_cents") < cents).cast("long")) / F.count("*")
     upto = F.sum((F.col("pos_cents") <= cents).cast("long")) / F.count("*")
@@ -89,11 +93,10 @@ def members_in_groups(sketched: DataFrame, members: DataFrame, identity: str = "
     ``members`` becomes one sketch, one row of a fixed size, which meets every group; no row is looked at again.
     """
     name = IDENTITIES[identity]
-    one = members.agg(F.theta_sketch_agg(F.col(identity), F.lit(DISTINCT_BITS)).alias("__members"))
+    one = members.agg(F.theta_sketch_agg(F.col(identity), F.lit(DISTINCT_BITS)).alias("members")).scalar()
     keys = [c for c in sketched.columns if c not in IDENTITIES.values()]
-    both = sketched.withColumn("__all", F.lit(1)).join(F.broadcast(one.withColumn("__all", F.lit(1))), "__all")
-    return both.select(
+    return sketched.select(
         *keys,
-        F.theta_sketch_estimate(F.theta_intersection(name, "__members")).alias(f"n_{name}_in"),
-        F.theta_sketch_estimate(F.theta_difference(name, "__members")).alias(f"n_{name}_out"),
+        F.theta_sketch_estimate(F.theta_intersection(name, one)).alias(f"n_{name}_in"),
+        F.theta_sketch_estimate(F.theta_difference(name, one)).alias(f"n_{name}_out"),
     )

@@ -255,11 +255,10 @@ def amount_medians(g: Given) -> DataFrame:
 
 def amount_stats_sketched(g: Given) -> DataFrame:
     """The statistics of the summary; of its median whether its rank keeps the stated error."""
-    found = sketches.sketched_amount_stats(part(summary(g.facts), "amount")).withColumn("every", F.lit(1))
-    rows = g.facts.select(F.lit(1).alias("every"), "n_pos", "pos_cents")
-    off = sketches.off_by(rows, found, ["every"], "median_amount", 0.5)
-    within = (F.col("off_by") <= sketches.rank_error()).alias("median_within_error")
-    return found.join(off, "every").select("mean_amount", "min_amount", "max_amount", within)
+    found = sketches.sketched_amount_stats(part(summary(g.facts), "amount"))
+    off = sketches.off_by(g.facts.select("n_pos", "pos_cents"), found, [], "median_amount", 0.5)
+    within = (off.scalar() <= sketches.rank_error()).alias("median_within_error")
+    return found.select("mean_amount", "min_amount", "max_amount", within)
 
 
 def suspects_by_month(g: Given) -> DataFrame:
