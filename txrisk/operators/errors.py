@@ -10,6 +10,7 @@ from txrisk.functions.rounding import percent, ratio
 from txrisk.operators.enrich import user_attributes
 from txrisk.operators.facts import totals
 from txrisk.operators.ranking import top
+from txrisk.operators.reaching import reaching
 from txrisk.params import CREDIT_BANDS, ERROR_RISK, Bands, DecisionRules, Floors
 
 
@@ -44,22 +45,26 @@ def error_type_risk(facts: DataFrame) -> DataFrame:
     )
 
 
-def error_rates(facts: DataFrame, key: str, floor: int = 0) -> DataFrame:
-    """Error rate of every card or client with at least ``floor`` transactions."""
+def error_rates(facts: DataFrame, key: str, floor: int = 0, bits: int | None = None) -> DataFrame:
+    """Error rate of every card or client with at least ``floor`` transactions.
+
+    With ``bits``, a sketch of that size first rules out rows of smaller groups (see :mod:`txrisk.operators.reaching`).
+    """
     return (
-        facts.groupBy(key)
+        (facts if bits is None else reaching(facts, key, floor, bits=bits))
+        .groupBy(key)
         .agg(*totals("n_tx", "n_errors"))
         .filter(F.col("n_tx") >= floor)
         .withColumn("error_rate", percent(F.col("n_errors"), F.col("n_tx")))
     )
 
 
-def card_error_rates(facts: DataFrame, k: int = 10, floors: Floors = Floors()) -> DataFrame:
-    return top(error_rates(facts, "card_id", floors.card_tx), k, "error_rate", "card_id")
+def card_error_rates(facts: DataFrame, k: int = 10, floors: Floors = Floors(), bits: int | None = None) -> DataFrame:
+    return top(error_rates(facts, "card_id", floors.card_tx, bits), k, "error_rate", "card_id")
 
 
-def client_error_rates(facts: DataFrame, k: int = 10, floors: Floors = Floors()) -> DataFrame:
-    return top(error_rates(facts, "client_id", floors.client_tx), k, "error_rate", "client_id")
+def client_error_rates(facts: DataFrame, k: int = 10, floors: Floors = Floors(), bits: int | None = None) -> DataFrame:
+    return top(error_rates(facts, "client_id", floors.client_tx, bits), k, "error_rate", "client_id")
 
 
 def scored_clients(facts: DataFrame, users: DataFrame, floors: Floors = Floors()) -> DataFrame:

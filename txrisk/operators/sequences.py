@@ -21,14 +21,15 @@ from txrisk.params import BAD_PIN, BurstRules
 DAY_SECONDS = 86400
 
 
-def moments(facts: DataFrame) -> DataFrame:
+def moments(facts: DataFrame, *also: str) -> DataFrame:
     """Per card and second: transactions, errors, wrong PINs and the lowest transaction id (NULL without a
-    column ``id``, which only the reports on single transactions need)."""
+    column ``id``, which only the reports on single transactions need). ``also`` names columns that depend on card and
+    second alone and by which the rows are stored."""
     first_id = F.min("id") if "id" in facts.columns else F.lit(None).cast("bigint")
     wrong_pin = F.coalesce(F.col("errors").contains(BAD_PIN), F.lit(False))
     return (
         facts.filter(F.col("card_id").isNotNull())
-        .groupBy("card_id", "tx_ts")
+        .groupBy("card_id", "tx_ts", *also)
         .agg(
             *totals("n_tx", "n_errors"),
             F.sum(C.flag(wrong_pin)).alias("n_pin"),

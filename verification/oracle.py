@@ -408,6 +408,12 @@ FROM types ORDER BY n_tx DESC, errors LIMIT 1""",
 WHEN 'Technical Glitch' THEN 'watch' ELSE 'normal' END AS risk FROM types""",
         "card_error_rate": f"{VIEWS} {error_rates('card_id', 50)} ORDER BY error_rate DESC, card_id LIMIT 10",
         "client_error_rate": f"{VIEWS} {error_rates('client_id', 100)} ORDER BY error_rate DESC, client_id LIMIT 10",
+        "card_error_rate_sketched": f"{VIEWS} {error_rates('card_id', 50)} ORDER BY error_rate DESC, card_id LIMIT 10",
+        "client_error_rate_sketched": f"{VIEWS} {error_rates('client_id', 100)} ORDER BY error_rate DESC, client_id LIMIT 10",
+        "moments_by_card": f"""{VIEWS} SELECT card_id, ts AS tx_ts, count(*) AS n_tx, {big('sum(err)')} AS n_errors,
+{big('sum(pin)')} AS n_pin, min(id) AS first_id FROM tx GROUP BY card_id, ts""",
+        "card_error_ratio_by_card": f"{VIEWS} {error_rates('card_id', 0)}",
+        "enriched_by_card": enriched,
         "card_error_bands": error_bands("card_id", CARD_ERROR),
         "client_error_bands": error_bands("client_id", CLIENT_ERROR),
         "credit_band_errors": f"""{SCORED_CLIENTS}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from txrisk.operators import (
     activity,
     amounts,
+    by_card,
     cards,
     categories,
     city_days,
@@ -30,6 +31,7 @@ from txrisk.operators.facts import clean, facts, rollup
 from txrisk.operators.summary import part, summary
 from txrisk.params import CARD_ERROR_BANDS, CLIENT_ERROR_BANDS, BurstRules, DecisionRules, Thresholds
 from txrisk.sources import code_maps, parquet, tables
+from txrisk.sources.by_card import ByCard, write_by_card
 from txrisk.sources.workspace import new_folder, stage, stage_all
 from txrisk.streaming import bursts
 from txrisk.streaming import cards as streaming
@@ -83,6 +85,12 @@ class Given:
     def moments(self) -> DataFrame:
         return sequences.moments(self.facts)
 
+    @cached_property
+    def stored(self) -> ByCard:
+        """The transactions stored by card; so few make a card busy that some are."""
+        folder = new_folder(self.spark, "by-card")
+        return write_by_card(self.tx, "by_card_" + folder[-32:], folder, hot_rows=20)
+
     @cached_property
     def scores(self) -> DataFrame:
         return score.risk_scores(self.card_days)
@@ -308,6 +316,8 @@ BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "error_type_risk": lambda g: errors.error_type_risk(g.facts),
     "card_error_rate": lambda g: errors.card_error_rates(g.facts),
     "client_error_rate": lambda g: errors.client_error_rates(g.facts),
+    "card_error_rate_sketched": lambda g: errors.card_error_rates(g.facts, bits=18),
+    "client_error_rate_sketched": lambda g: errors.client_error_rates(g.facts, bits=18),
     "card_error_bands": lambda g: errors.error_rate_bands(g.facts, "card_id", CARD_ERROR_BANDS),
     "client_error_bands": lambda g: errors.error_rate_bands(g.facts, "client_id", CLIENT_ERROR_BANDS),
     "credit_band_errors": lambda g: errors.credit_band_errors(g.facts, g.users),
@@ -368,6 +378,9 @@ BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "users_csv": users_csv,
     "suspicious_cards_saved": suspicious_saved,
     "enriched_saved": enriched_saved,
+    "moments_by_card": lambda g: by_card.moments(g.stored).drop("second"),
+    "card_error_ratio_by_card": lambda g: by_card.card_error_rates(g.stored),
+    "enriched_by_card": lambda g: enriched_columns(by_card.enrich(g.stored, g.codes, g.cards, g.users)),
 }
 
 STREAMS: dict[str, Query] = {
