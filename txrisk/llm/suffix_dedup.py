@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from txrisk.llm.deep_shallow import deep_shallow_sort, lcp
+from txrisk.llm.hot_contexts import deal, nearest
 from txrisk.sources.workspace import stage
 
 LENGTH = 400
@@ -20,8 +21,8 @@ LENGTH = 400
 ANCHOR_POWER = 5
 #: Bytes of a text in which anchors are sought at a time.
 CHUNK = 1 << 20
-#: Places of an anchor that are compared in one task. The different contexts of an anchor with more are dealt into parts of about
-#: as many, which are compared two by two.
+#: Places of an anchor that are compared in one task. The different contexts of an anchor with more are dealt to groups of at most
+#: as many, see :mod:`txrisk.llm.hot_contexts`.
 PART = 16384
 #: Contexts in a batch.
 BATCH = 4096
@@ -254,16 +255,17 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
         return held.sortWithinPartitions("anchor", "unit").mapInArrow(compare, "digest binary, spans array<int>")
 
     found = compared(contexts(False, True).withColumn("unit", F.lit(0)))
-    # equal contexts of a hot anchor are one row, at place 0; twice there if they stand at several places
+    # equal contexts of a hot anchor are one row, at place 0, and repeated as a whole if they stand at several places
     whole = contexts(True, True).withColumn("n", F.size("places").cast("long"))
     different = stage(whole.groupBy("anchor", "key", "left", "right").agg(F.sum("n").alias("n")), "contexts")
-    parts = different.groupBy("anchor").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")).filter("parts > 1")
-    # not many: each of these anchors has more than a part of contexts
-    dealt = different.join(F.broadcast(parts), "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    mine, n = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"), F.col("parts")
-    units = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.least(mine, j) * n + F.greatest(mine, j))
-    once = F.when(F.col("n") > 1, F.array(F.lit(0), F.lit(0))).otherwise(F.array(F.lit(0)))
-    reach = compared(dealt.select("anchor", "left", "right", F.col("key").alias("digest"), once.alias("places"), F.explode(units).alias("unit")))
+    units, sure = deal(different, length, PART)
+    place = F.array(F.lit(0)).alias("places")
+    reach = compared(units.select("anchor", "unit", "left", "right", F.col("key").alias("digest"), place))
+    whole = [F.octet_length(side).cast("int") for side in ("left", "right")]
+    reach = reach.union(different.filter("n > 1").select("key", F.array(-whole[0], whole[1])))
+    if sure is not None:
+        left, right = (nearest(sure, side).select("key", F.col("reach").alias(side)) for side in ("left", "right"))
+        reach = reach.union(left.join(right, "key").select("key", F.array(-F.col("left"), F.col("right"))))
     # every pair of a context spans its anchor, so together they are one span
     reach = reach.groupBy(F.col("digest").alias("key")).agg(F.min(F.col("spans")[0]).alias("from"), F.max(F.col("spans")[1]).alias("to"))
     spread = F.flatten(F.transform("places", lambda p: F.array(p + F.col("from"), p + F.col("to"))))
@@ -281,9 +283,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     or more, all of each is removed.
 
     Every such string holds an anchor, so the suffixes to sort are those at anchors that occur twice. A task holds the
-    contexts of one anchor at up to ``PART`` places. Of a more frequent one, equal contexts are summed to one row first, and a
-    task holds two parts of about ``PART`` different contexts; what it finds is joined back to the places. Texts are shuffled once, by their digest, and those with a
-    repeated anchor a second time.
+    contexts of one anchor at up to ``PART`` places. Of a more frequent one, equal contexts are summed to one row first and dealt to
+    groups of at most ``PART`` that agree in more bytes; what is found is joined back to the places. Larger groups remain only where all
+    members agree in ``length`` bytes, and these are sorted over many tasks. Texts are shuffled once, by their digest, and those with a repeated anchor a second time.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = stage(
