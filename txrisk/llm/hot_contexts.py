@@ -4,7 +4,7 @@ A context is what stands before an anchor (reversed) and from it on. Two context
 count if ``l + r >= length``. In a group all members agree in ``a`` bytes to the left and ``b`` to the right. One with too many members is
 split: with ``c`` halfway between ``b`` and ``length - a``, a pair that counts has ``r >= c`` or ``l > length - c``, so that the members go to groups of equal
 ``c`` bytes to the right and to groups of equal ``length - c + 1`` bytes to the left. Contexts without an equal one in that many bytes stand alone and are done. What is
-left to decide halves each time; where ``a + b >= length`` all pairs of a group count, and the longest agreement of each member is that with its neighbour in sorted order,
+left to decide at least halves each time, as all that a group's members agree in is taken into account first; where ``a + b >= length`` all pairs of a group count, and the longest agreement of each member is that with its neighbour in sorted order,
 left and right by themselves. Then nothing is compared in pairs and the group may have any size.
 """
 
@@ -27,32 +27,47 @@ def deal(contexts: DataFrame, length: int, most: int) -> tuple[DataFrame, DataFr
     """Groups of at most ``most`` members to compare, and the groups in which all pairs count (None if there are none).
 
     ``contexts`` has one row ``anchor, key, left, right`` (and others, which are kept) per different context, written. The results also have ``unit``; groups are
-    by ``anchor`` and ``unit``. A split copies a context at most once, and there are at most about ``log2(length)`` splits one in the other: where only
-    one side is shared by many, as around a common passage, each context is in one small group per split (9 for 400 bytes), however many contexts there are.
+    by ``anchor`` and ``unit``. A split copies a context at most once and leaves out groups of one. There are at most about ``log2(length)`` splits one in
+    the other, 9 for 400 bytes, however many contexts there are; around a common passage one is enough.
     """
     state = contexts.withColumns({"unit": F.lit(b""), "a": F.lit(0), "b": F.lit(0)})
     small: list[DataFrame] = []
     sure: list[DataFrame] = []
     while True:
-        counted = state.groupBy(*_KEYS).agg(F.count("*").alias("members"), F.min(F.col("a") + F.col("b")).alias("agreed"))
-        large = stage(counted.filter(F.col("members") > most), "large")
-        named = large.select(*_KEYS)
-        small.append(state.join(named, list(_KEYS), "left_anti"))
+        counted = state.groupBy(*_KEYS).agg(F.count("*").alias("members"))
+        large = stage(counted.filter(F.col("members") > most).select(*_KEYS), "large")
+        small.append(state.join(large, list(_KEYS), "left_anti"))
         if large.isEmpty():
             break
-        held = state.join(named, list(_KEYS), "left_semi")
+        agreed = stage(_agreed(state.join(large, list(_KEYS), "left_semi")), "agreed")
+        held = state.drop("a", "b").join(agreed, list(_KEYS))
         enough = F.col("a") + F.col("b") >= length
-        if not large.filter(F.col("agreed") >= length).isEmpty():
+        if not agreed.filter(enough).isEmpty():
             sure.append(held.filter(enough))
         right = F.col("b") + F.ceil((length - F.col("a") - F.col("b")) / 2).cast("int")
-        children = [
+        halves = [
             held.filter(~enough & (F.octet_length(side) >= size)).withColumns({name: size, "unit": _within(mark, side, size)})
             for name, mark, side, size in (("b", b"R", "right", right), ("a", b"L", "left", length - right + 1))
         ]
-        state = stage(children[0].union(children[1]), "split")
+        children = halves[0].unionByName(halves[1])
+        shared = stage(children.groupBy(*_KEYS).agg(F.count("*").alias("members")).filter("members > 1").drop("members"), "shared")
+        state = stage(children.join(shared, list(_KEYS), "left_semi"), "split")
     return _united(small), _united(sure) if sure else None
 
 
+def _agreed(state: DataFrame) -> DataFrame:
+    """``anchor, unit, a, b``: in how many bytes all members of a group agree, as its first and its last one in sorted order do."""
+
+    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [batch[c].to_pylist() for c in ("l0", "l1", "r0", "r1")]
+            a, b = (pa.array(map(lcp, *pair), pa.int32()) for pair in (sides[:2], sides[2:]))
+            yield pa.RecordBatch.from_arrays([batch["anchor"], batch["unit"], a, b], [*_KEYS, "a", "b"])
+
+    ends = [f(side).alias(name) for side in ("left", "right") for f, name in ((F.min, f"{side[0]}0"), (F.max, f"{side[0]}1"))]
+    return state.groupBy(*_KEYS).agg(*ends).mapInArrow(common, "anchor long, unit binary, a int, b int")
+
+
 def _within(mark: bytes, side: str, size: Column) -> Column:
     return F.unhex(F.md5(F.concat("unit", F.lit(mark), F.substr(F.col(side), F.lit(1), size))))
 
@@ -60,7 +75,7 @@ def _within(mark: bytes, side: str, size: Column) -> Column:
 def _united(frames: list[DataFrame]) -> DataFrame:
     made = frames[0]
     for frame in frames[1:]:
-        made = made.union(frame)
+        made = made.unionByName(frame)
     return made.drop("a", "b")
 
 
