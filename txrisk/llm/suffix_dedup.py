@@ -10,10 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from txrisk.llm.deep_shallow import deep_shallow_sort, lcp
 from txrisk.llm.hot_contexts import deal, nearest
+from txrisk.llm.tables import flag_members
 from txrisk.sources.workspace import stage
 
 LENGTH = 400
@@ -173,14 +173,17 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
                 columns = [pa.array(np.concatenate(hashes)), pa.array(digests, pa.binary()), of_anchor]
                 yield pa.RecordBatch.from_arrays(columns, ["anchor", "digest", "places"])
 
-    each = texts.mapInArrow(find, "anchor long, digest binary, places array<int>").repartition("anchor").dropDuplicates(["anchor", "digest"])
-    counted = each.withColumn("all", F.sum(F.size("places")).over(Window.partitionBy("anchor")))
-    several = counted.filter(F.col("all") > 1)
+    found = texts.mapInArrow(find, "anchor long, digest binary, places array<int>").dropDuplicates(["anchor", "digest"])
+    each = stage(found, "found")
+    counted = each.groupBy("anchor").agg(F.sum(F.size("places")).alias("all")).filter(F.col("all") > 1)
+    several = each.join(counted, "anchor")
     of_text = several.groupBy("digest").agg(
         F.collect_list(F.struct("anchor", "places", (F.col("all") > PART).alias("hot"))).alias("anchors"),
         F.max(F.col("all") > PART).alias("hot"), F.min(F.col("all") > PART).alias("only_hot"),
     )
-    held = stage(texts.join(stage(of_text, "anchors"), "digest"), "held")
+    of_text = stage(of_text, "anchors")
+    maybe = flag_members(texts, F.col("digest"), of_text, F.col("digest")).filter("__maybe").drop("__maybe")
+    held = stage(maybe.dropDuplicates(["digest"]).join(of_text, "digest"), "held")
 
     def contexts(hot: bool, whole: bool):
         """Contexts of the anchors that are hot or not: ``anchor, key, digest, places`` and, if ``whole``, ``left, right``."""
@@ -197,12 +200,8 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
             return pa.RecordBatch.from_pydict(made)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen = set()
             for batch in batches:
                 for i, digest in enumerate(batch["digest"].to_pylist()):
-                    if digest in seen:
-                        continue
-                    seen.add(digest)
                     text = batch["text"][i].cast(pa.large_binary()).as_py()
                     rows: dict[tuple, list[int]] = {}
                     for a in batch["anchors"][i].as_py():
@@ -285,7 +284,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Every such string holds an anchor, so the suffixes to sort are those at anchors that occur twice. A task holds the
     contexts of one anchor at up to ``PART`` places. Of a more frequent one, equal contexts are summed to one row first and dealt to
     groups of at most ``PART`` that agree in more bytes; what is found is joined back to the places. Larger groups remain only where all
-    members agree in ``length`` bytes, and these are sorted over many tasks. Texts are shuffled once, by their digest, and those with a repeated anchor a second time.
+    members agree in ``length`` bytes, and these are sorted over many tasks. Anchors are counted by partial sums. Only texts that may hold a repeated anchor are
+    shuffled, by their digest, and each task sends one of equal texts.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = stage(
