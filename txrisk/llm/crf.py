@@ -8,8 +8,8 @@ from collections import Counter
 
 import numpy as np
 
-#: A word (letters only), or an end of a sentence.
-TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]")
+#: A word (letters only), or an end of a sentence. Longer runs of letters, as in scripts without blanks, are several words of a chain.
+TOKENS = re.compile(r"[^\W\d_]{1,64}|[.!?\n]")
 ENDS = frozenset(".!?\n")
 #: Texts are read in pieces of about so many characters, so that a very long one needs no more memory.
 PIECE = 1 << 20
@@ -29,10 +29,10 @@ def pieces(text: str, size: int = PIECE):
 
 
 def features(word: str) -> list[str]:
-    """Lexicon entry, affixes of 1 to 4 letters and inner 3-grams of a lower-case word (of its first 64 letters)."""
+    """Lexicon entry, affixes of 1 to 4 letters and inner 3-grams of a lower-case word."""
     marked = f"^{word}$"
-    out = ["", f"={word[:64]}", marked[:2], marked[:3], marked[:4], marked[:5], marked[-2:], marked[-3:], marked[-4:], marked[-5:]]
-    out += [word[i : i + 3] for i in range(min(len(word), 64) - 2)]
+    out = ["", f"={word}", marked[:2], marked[:3], marked[:4], marked[:5], marked[-2:], marked[-3:], marked[-4:], marked[-5:]]
+    out += [word[i : i + 3] for i in range(len(word) - 2)]
     return out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +30,11 @@ TRAILING = ".,;:!?)]}>\"'"
 #: Score and number of different identifiers from which a pattern is trusted.
 TRUSTED = 0.7
 SUPPORT = 4
-CONTEXT = 48
+#: Characters of a word, its last ones, that a pattern holds.
+WORD_END = 48
+WORD = re.compile(r"\S+")
+#: Longer values are compared by digest.
+LONG = 128
 
 
 def luhn(digits: str) -> bool:
@@ -70,11 +75,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _patterns(text: str, start: int) -> list[str]:
-    """The last two words before a place, and the last one, lower-cased and with 0 for digits; only if they hold a letter."""
-    near = DIGIT.sub("0", text[max(0, start - CONTEXT) : start].lower()).split()[-2:]
-    made = {" ".join(near), near[-1]} if near else ()
-    return sorted(p for p in made if any(map(str.isalpha, p)))
+def _patterns(text: str, starts: list[int]) -> Iterator[list[str]]:
+    """For each of ascending places the last two words before it, and the last one, lower-cased and with 0 for digits; only if they
+    hold a letter. A place in a word has the part of it that stands before; the text is read once."""
+    words, near = WORD.finditer(text), deque(maxlen=2)
+    word = next(words, None)
+    for start in starts:
+        while word and word.end() <= start:
+            near.append(text[max(word.start(), word.end() - WORD_END) : word.end()])
+            word = next(words, None)
+        part = [text[max(word.start(), start - WORD_END) : start]] if word and word.start() < start else []
+        last = [DIGIT.sub("0", w.lower()) for w in [*near, *part][-2:]]
+        made = {" ".join(last), last[-1]} if last else ()
+        yield sorted(p for p in made if any(map(str.isalpha, p)))
 
 
 def _fits(value: str) -> list[int]:
@@ -99,15 +112,16 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             held.append((m.start(), m.start() + len(value), None))
     for m in TOKEN.finditer(text):
         held.append((m.start(), m.start() + len(m[0].rstrip(TRAILING)), None))
-    out, end = [], 0
+    apart, end = [], 0
     for a, b, kind in sorted(held, key=lambda x: (x[0], x[2] is None, -x[1])):
         if a >= end and b > a:
-            value, end = text[a:b], b
-            if len(value) > 128:  # no identifier: counted, by a digest
-                value = hashlib.md5(value.encode()).hexdigest()
-                out.append((a, b, value, kind, [], _patterns(text, a)))
-            else:
-                out.append((a, b, value.lower(), kind, _fits(value), _patterns(text, a)))
+            apart.append((a, b, kind))
+            end = b
+    out = []
+    for (a, b, kind), patterns in zip(apart, _patterns(text, [a for a, _, _ in apart])):
+        value = text[a:b].lower()
+        fits = _fits(value)
+        out.append((a, b, hashlib.md5(value.encode()).hexdigest() if b - a > LONG else value, kind, fits, patterns))
     return out
 
 
