@@ -18,6 +18,7 @@ from txrisk.operators import (
     enrich,
     errors,
     features,
+    identities,
     indicators,
     population,
     profile,
@@ -291,7 +292,7 @@ BATCH: dict[str, Callable[[Given], DataFrame]] = {
     "summed_volumetry": lambda g: profile.summed_volumetry(indicators.daily(g.facts), categories.merchant_totals(g.facts)),
     "amount_medians": amount_medians,
     "amount_stats_sketched": amount_stats_sketched,
-    "active_by_month": lambda g: sketches.distinct_identities(sketches.identity_sketches(g.facts, "tx_month", "tx_date"), "tx_month"),
+    "active_by_month": lambda g: identities.distinct_identities(identities.identity_rows(g.facts, "tx_month"), "tx_month"),
     "suspects_by_month": suspects_by_month,
     "card_lifetime_bitmaps": lambda g: city_days.card_lifetime(city_spans(g)),
     "weekly_cities": lambda g: city_days.weekly_cities(city_spans(g)),
