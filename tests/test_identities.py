@@ -33,3 +33,23 @@ def test_registered_months_count_more_cards_than_a_sketch(spark, rows):
         facts = spark.range(75_000).select(*[F.col("id").alias(c) for c in sketches.IDENTITIES], F.lit(1).alias("tx_month"), F.lit(None).cast("date").alias("tx_date"))
 
     assert rows(BATCH["active_by_month"](Given)) == [(1, 75_000, 75_000, 75_000)]
+
+
+def test_members_beyond_a_sketch_are_exact(spark, many, rows):
+    n, made = many
+    members = spark.range(0, 2 * n, 3).select(F.col("id").alias("card_id")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    found = identities.members_in_groups(identities.identity_rows(made, "g"), members.union(members))
+    card = F.col("card_id")
+    expected = made.groupBy("g").agg(F.count_distinct(F.when(card % 3 == 0, card)), F.count_distinct(F.when(card % 3 != 0, card)))
+    assert rows(found) == rows(expected)
+    assert rows(identities.members_in_groups(identities.identity_rows(made), members.filter("false"))) == [(0, n)]
+
+
+def test_registered_suspects_count_more_cards_than_a_sketch(spark, rows):
+    from verification.queries import BATCH
+
+    class Given:
+        facts = spark.range(75_000).select(*[F.col("id").alias(c) for c in sketches.IDENTITIES], F.lit(1).alias("tx_month"))
+        suspicious = staticmethod(lambda: spark.range(10, 72_010).select(F.col("id").alias("card_id")))
+
+    assert rows(BATCH["suspects_by_month"](Given)) == [(1, 72_000, 3_000)]

@@ -24,3 +24,20 @@ def distinct_identities(found: DataFrame, *keys: str) -> DataFrame:
     each = found.select(*keys, "identity", "value").distinct()
     counts = [F.count(F.when(F.col("identity") == c, F.col("value"))).alias(f"n_{name}") for c, name in IDENTITIES.items()]
     return each.groupBy(*keys).agg(*counts)
+
+
+def members_in_groups(found: DataFrame, members: DataFrame, identity: str = "card_id") -> DataFrame:
+    """Of every group of :func:`identity_rows`, how many of its distinct cards (or clients or merchants) are in ``members`` and how many
+    are not. Each of them meets at most one member."""
+    name = IDENTITIES[identity]
+    inside = members.select(F.col(identity).alias("value"), F.lit(True).alias("inside")).distinct()
+    keys = [c for c in found.columns if c not in ("identity", "value")]
+    return (
+        found.filter(F.col("identity") == identity)
+        .join(inside, "value", "left")
+        .groupBy(*keys)
+        .agg(
+            F.count(F.when(F.col("inside"), F.col("value"))).alias(f"n_{name}_in"),
+            F.count(F.when(F.col("inside").isNull(), F.col("value"))).alias(f"n_{name}_out"),
+        )
+    )

@@ -23,6 +23,7 @@ from txrisk.operators import (
     enrich,
     errors,
     features,
+    identities,
     indicators,
     population,
     profile,
@@ -78,7 +79,7 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
     tx = stage(with_id(observed.rows), "transactions")
     rows = facts(tx)
     shared = stage_all(summary=summary(rows), daily=indicators.daily(rows), moments=sequences.moments(rows),
-        merchants=categories.merchant_totals(rows), months=sketches.identity_sketches(rows, "tx_month"))
+        merchants=categories.merchant_totals(rows), months=identities.identity_rows(rows, "tx_month"))
     small, daily, moments, by_merchant = (shared[n] for n in ("summary", "daily", "moments", "merchants"))
     by_time, by_code = part(small, "time"), part(small, "code")
     by_error, by_amount = part(small, "error"), part(small, "amount")
@@ -98,8 +99,8 @@ def reports(inputs: Inputs, settings: Settings) -> dict[str, DataFrame]:
         "schema": profile.describe_schema(raw),
         "amount_stats": sketches.sketched_amount_stats(by_amount),
         "amount_quantiles": sketches.amount_quantiles(by_code, ["mcc"], (0.25, 0.5, 0.75, 0.95)),
-        "active_by_month": sketches.distinct_identities(shared["months"], "tx_month"),
-        "suspects_by_month": sketches.members_in_groups(shared["months"], suspicious),
+        "active_by_month": identities.distinct_identities(shared["months"], "tx_month"),
+        "suspects_by_month": identities.members_in_groups(shared["months"], suspicious),
         "amount_bands": amounts.amount_bands(by_amount),
         "high_amount_share": amounts.high_amount_share(by_amount),
         "by_hour": activity.by_hour(by_time),

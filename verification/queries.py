@@ -271,7 +271,7 @@ def amount_stats_sketched(g: Given) -> DataFrame:
 
 
 def suspects_by_month(g: Given) -> DataFrame:
-    return sketches.members_in_groups(sketches.identity_sketches(g.facts, "tx_month"), g.suspicious())
+    return identities.members_in_groups(identities.identity_rows(g.facts, "tx_month"), g.suspicious())
 
 
 def city_spans(g: Given) -> DataFrame:
