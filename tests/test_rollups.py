@@ -58,6 +58,22 @@ def test_more_cities_than_a_bitmap_holds(spark, rows):
     assert rows(city_days.card_lifetime(days), "card_id", "n_tx", "n_cities", "n_days") == [(0, n // 2, n // 2, 1), (1, n // 2, n // 2, 1)]
 
 
+def test_bitmaps_are_hashed_as_numbers(spark, rows):
+    """Bitmaps of 4 KB for each card and day were sorted whole, and every task held as many of them as its memory took."""
+    made = spark.range(400).select(
+        (F.col("id") % 3).alias("card_id"), F.lit("2024-01-01").cast("date").alias("tx_date"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("merchant_city"),
+        *[F.lit(1).cast("long").alias(m) for m in indicators.DAILY_MEASURES],
+    )
+    numbered = spark.range(400).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("merchant_city"), (F.col("id") * 200 + 1).alias("city_no"))
+    days = city_days.city_days(made, numbered)
+    assert days.schema["cities"].dataType.simpleString() == "bigint"
+    assert days.count() <= 400
+    weekly = city_days.weekly_cities(days)
+    plans = [frame._jdf.queryExecution().executedPlan().toString() for frame in (days, weekly)]
+    assert not any("SortAggregate" in plan or "ObjectHashAggregate" in plan for plan in plans)
+    assert sorted(rows(weekly, "card_id", "n_cities_all")) == [(0, 134), (1, 133), (2, 133)]
+
+
 def test_summed_volumetry_equals_the_rows(busy, build, rows):
     for given in (busy, busy.filter("false")):
         summed = profile.summed_volumetry(indicators.daily(given), categories.merchant_totals(given))
