@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import datetime
 import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 
 from txrisk import schemas
@@ -149,6 +151,49 @@ def test_exact_bursts_equal_the_batch_result_also_after_a_restart(spark, build,
         assert rows(found) == rows(batch) and batch.count() > 20
 
 
+class Recorded:
+    """Stands for the handle, the states and the timers of one card, and counts what is asked of them."""
+
+    def __init__(self):
+        self.calls, self.ring, self.expiry, self.timers = [], [], None, set()
+
+    def getListState(self, name, schema):
+        return SimpleNamespace(get=lambda: iter(self.ring), put=lambda rows: self.set("ring", rows), clear=lambda: self.set("ring", []))
+
+    def getValueState(self, name, schema):
+        return SimpleNamespace(exists=lambda: self.expiry is not None, get=lambda: self.expiry, update=lambda at: self.set("expiry", at), clear=lambda: self.set("expiry", None))
+
+    def set(self, name, value):
+        self.calls.append(name)
+        setattr(self, name, value)
+
+    def registerTimer(self, at):
+        self.calls.append("timer")
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls.append("timer")
+        self.timers.remove(at)
+
+
+def test_state_is_held_only_of_seconds_that_may_still_count():
+    def came(watermark, *seconds):
+        rows = iter([pd.DataFrame({"second": [s], "n": [1]}) for s in seconds])
+        found = list(card.handleInputRows((1,), rows, SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark * 1000)))
+        return [tuple(r) for part in found for r in part[["second", "n_recent"]].to_numpy()]
+
+    card, state = bursts.Trailing(10, 2), Recorded()
+    card.init(state)
+    assert came(111, 100, 95, 50) == [(100, 2)]
+    assert (state.calls, state.ring, state.timers) == ([], [], set())  # 111 covers no second up to 100
+    assert came(131, 125, 121, 120, 112) == [(120, 2), (121, 3), (125, 3)]
+    assert (state.ring, state.timers) == ([(121, 1), (125, 1)], {136_000})  # 131 covers 121, and not 120
+    assert came(140, 131, 135) == [(131, 3), (135, 3)]
+    assert (state.ring, state.timers) == ([(131, 1), (135, 1)], {146_000})
+    assert came(200, 141) == [(141, 3)]
+    assert (state.ring, state.expiry, state.timers) == ([], None, set())
+
+
 def test_arbitrary_state_leaves_the_session_as_it_was(spark):
     before = spark.conf.get(bursts.PROVIDER)
     with bursts.arbitrary_state(spark):
