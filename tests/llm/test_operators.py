@@ -240,6 +240,30 @@ def test_jaccard_join_is_brute_force(spark, monkeypatch, lists):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_components(texts, 4, (70, 100))
 
 
+def test_shingles_that_repeat_over_tasks_make_no_long_lists(spark, monkeypatch):
+    """Each task has a common shingle once only, all tasks together have it 48 times: prefixes are taken from what stands alone."""
+    monkeypatch.setattr(jaccard_join, "LIST", 8)
+    line = " ".join(f"common{i}" for i in range(33))
+    docs = spark.createDataFrame([(i, f"{line} {' '.join(f'own{i}x{k}' for k in range(40))}") for i in range(48)], "doc_id long, text string")
+    shared = jaccard_join.shared_tokens(jaccard_join.prefixes(docs.repartition(48, "doc_id"), 4, (80, 100)))
+    assert shared.filter(f"listed > {jaccard_join.LIST}").count() == 0
+    assert jaccard_join.near_duplicates(docs, 4, (80, 100)).filter("doc_id = component_id").count() == 48
+
+
+def test_shingle_counts_are_summed_over_tasks(spark, monkeypatch):
+    for name, value in (("CELLS", 1 << 10), ("ROW", 1 << 8), ("COUNTED", 50)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    dice = random.Random(5)
+    texts = [None, "", *[" ".join(dice.choices("abcdefg", k=dice.randint(1, 20))) for _ in range(100)], *["over and over again"] * 1000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    counts = np.zeros(1 << 10, np.int64)
+    for held in jaccard_join.shingle_sets([(t or "").encode() for t in texts], 4, jaccard_join.WordHashes()):
+        np.add.at(counts, (held & np.uint64((1 << 10) - 1)).astype(np.int64), 1)
+    expected = np.searchsorted(jaccard_join.LEVELS, counts, "right")
+    for parts in (1, 7):
+        assert (jaccard_join.shingle_counts(docs.repartition(parts), 4) == expected).all()
+
+
 def test_sketches_never_rule_out_a_link():
     dice = np.random.default_rng(0)
     for _ in range(300):

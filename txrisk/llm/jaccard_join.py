@@ -19,9 +19,14 @@ from txrisk.sources.workspace import stage
 WORDS = 5
 #: Documents link when ``similarity[1] * intersection >= similarity[0] * union``.
 SIMILARITY = (80, 100)
-#: Shingles a task counts at a time, the local and total counts from which a shingle is frequent, and how many are kept.
-COUNTED = 1 << 21
-LOCAL, FREQUENT, KEPT = 3, 16, 50_000
+#: Cells of the table of counts, how many of them make a row, tasks that sum them, and shingles a task counts at a time.
+CELLS, ROW, SUMMERS, COUNTED = 1 << 24, 1 << 16, 32, 1 << 20
+#: Most counting tasks for each core.
+SPREAD = 8
+#: Least counts of the levels by which a cell is known: half a standard deviation of chance apart, then an eighth of the count.
+LEVELS = np.unique(np.concatenate([np.arange(4, 161) ** 2 // 16, 1600 * 2 ** (np.arange(1, 100) / 6)]).astype(np.int64))[:255]
+#: A shingle is frequent from this count over what chance puts into its cell.
+FREQUENT = 16
 #: Longest requirement of shared prefix shingles.
 MOST_MATCHES = 4
 #: Lists up to this length are joined pair by pair; the documents of longer ones are verified block by block.
@@ -33,68 +38,91 @@ def _binary(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch["text"].cast(pa.large_binary()).to_pylist()]
 
 
-def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """About the most frequent shingles of all documents and their counts; at most ``KEPT``, so they can go to every task.
+def shingle_counts(docs: DataFrame, width: int) -> np.ndarray:
+    """How many documents have the shingles of each cell, as the number of ``LEVELS`` that the count reaches. A cell takes the shingles
+    whose hashes end alike; a byte is kept for each, so the table can go to every task, whatever the number of documents.
 
-    Each task counts blocks of some million shingles and reports those seen at least three times in one. The counts only
-    choose the order in which prefixes are taken; the join is exact for any order.
+    Each task counts all shingles of its documents; the tables of the tasks are packed and summed by parts. What shingles of the
+    same cell add is about the same everywhere, so a shingle that stands out in all documents together is known, however few of them
+    a task has. The counts only choose the order in which prefixes are taken; the join is exact for any order.
     """
 
     @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, size = WordHashes(), [], 0
+        known, table, held, size = WordHashes(), np.zeros(CELLS, np.uint16), [], 0
 
-        def out() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= LOCAL
-            return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(counts[often])], ["token", "n"])
+        def add() -> None:
+            cells, counts = np.unique((np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.uint32), return_counts=True)
+            table[cells] = np.minimum(table[cells] + counts, np.iinfo(np.uint16).max)
 
         for batch in batches:
             for tokens in shingle_sets(_binary(batch), width, known):
                 held.append(tokens)
                 size += len(tokens)
                 if size >= COUNTED:
-                    yield out()
+                    add()
                     held, size = [], 0
         if held:
-            yield out()
+            add()
+        for at in range(0, CELLS, ROW):
+            if (some := table[at : at + ROW]).any():
+                kind = "u1" if some.max() < 256 else "u2"
+                packed = pa.compress(some.astype(kind).tobytes(), "zstd", asbytes=True)
+                yield pa.RecordBatch.from_pydict({"at": [at], "kind": [kind], "counts": [packed]}, packed_rows)
 
-    counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(KEPT).collect()
-    tokens = np.array([r["token"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(tokens)
-    return tokens[order], np.array([r["n"] for r in top], np.int64)[order]
+    @tidy
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                size = min(ROW, CELLS) * np.dtype(row["kind"]).itemsize
+                found = np.frombuffer(pa.decompress(row["counts"], size, "zstd", asbytes=True), row["kind"])
+                sums[row["at"]] = sums.get(row["at"], 0) + found.astype(np.int64)
+        for at, summed in sums.items():
+            levels = np.searchsorted(LEVELS, summed, "right").astype(np.uint8).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([levels], pa.binary())], ["at", "levels"])
+
+    packed_rows = pa.schema([("at", pa.int64()), ("kind", pa.string()), ("counts", pa.binary())])
+    tasks = SPREAD * docs.sparkSession.sparkContext.defaultParallelism  # a table each: fewer, fuller ones take less room
+    counted = docs.select("text").coalesce(tasks).mapInArrow(count, "at long, kind string, counts binary").repartition(SUMMERS, "at")
+    out = np.zeros(CELLS, np.uint8)
+    for row in counted.mapInArrow(add_up, "at long, levels binary").collect():
+        out[row["at"] : row["at"] + ROW] = np.frombuffer(row["levels"], np.uint8)
+    return out
+
+
+def level_weights(table: np.ndarray) -> np.ndarray:
+    """For each level about how many documents a shingle of it has, without those that chance puts into its cell; 0 if it is not frequent."""
+    least = np.concatenate([[0], LEVELS])
+    chance = least[int(np.searchsorted(np.cumsum(np.bincount(table, minlength=len(least))), len(table) / 2))]
+    return np.where(least >= FREQUENT + chance + 4 * np.sqrt(chance), least - chance, 0).astype(np.int64)
 
 
 #: After a unit of verification over this size a task gives memory back; after each small one it would cost more than the unit.
 RELEASED_BYTES = 1 << 23
 
 
-def prefix_of(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: tuple[int, int]) -> tuple[np.ndarray, int, int]:
+def prefix_of(tokens: np.ndarray, table: np.ndarray, weights: np.ndarray, similarity: tuple[int, int]) -> tuple[np.ndarray, int, int]:
     """A set's prefix, how much of it serves as the smaller side's, and how many of its shingles a partner must share.
 
-    The order is: infrequent shingles by hash, then frequent ones by count. A partner that is no larger shares at least
+    The order is by level, then by hash. A partner that is no larger shares at least
     ``num/den * n`` shingles, one that is no smaller at least ``2 num / (num + den) * n``; so prefixes that leave out all but
     ``l - 1`` of those share at least l. l is lengthened while the estimated cost falls: the lists to read, and the
     candidates to verify, of which a list of length c gives c - 1, fewer as l of them are needed.
     """
     num, den = similarity
     n = len(tokens)
-    listed, counts = frequent
-    at = np.minimum(np.searchsorted(listed, tokens), max(0, len(listed) - 1))
-    often = listed[at] == tokens if len(listed) else np.zeros(n, bool)
+    levels = table[(tokens & np.uint64(len(table) - 1)).astype(np.int64)]
+    order = np.argsort(levels, kind="stable")  # the hashes ascend
     probe, index = n - -(-num * n // den), n - -(-2 * num * n // (num + den))
     most = min(MOST_MATCHES, -(-num * n // den))
-    rare = tokens[~often]
-    if len(rare) >= probe + 1:  # no list is known to be long: one match is enough
-        return rare[: probe + 1], index + 1, 1
-    weight = counts[at[often]]
-    order = np.lexsort((tokens[often], weight))
-    ordered = np.concatenate([rare, tokens[often][order]])
-    cost = np.cumsum(np.concatenate([np.zeros(len(rare), np.int64), weight[order] - 1]))
+    weight = weights[levels[order[: probe + most]]]
+    if not weight[probe]:  # no list is known to be long: one match is enough
+        return tokens[order[: probe + 1]], index + 1, 1
+    cost = np.cumsum(np.maximum(weight - 1, 0))
     totals = [cost[probe + k - 1] * (1 + n / 8 / k) + probe + k for k in range(1, most + 1)]
     best = int(np.argmin(totals)) + 1
-    return ordered[: probe + best], index + best, best
+    return tokens[order[: probe + best]], index + best, best
 
 
 def sketch(tokens: np.ndarray) -> bytes:
@@ -120,7 +148,8 @@ def may_link(a: bytes, b: bytes, both: int, similarity: tuple[int, int]) -> bool
 def prefixes(docs: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
     """``doc_id, node, n, matches, tokens, n_index, sketch`` per document. ``node`` is a hash of the set: documents with equal sets are
     one node. ``tokens`` and ``sketch`` are NULL where the task has given them for the node already, or if the set is empty."""
-    frequent = frequent_shingles(docs, width)
+    table = shingle_counts(docs, width)
+    weights = level_weights(table)
     kind = dict(docs.dtypes)["doc_id"]
 
     @tidy
@@ -133,7 +162,7 @@ def prefixes(docs: DataFrame, width: int, similarity: tuple[int, int]) -> DataFr
                 row = (node, len(found), None, None, None, None)
                 if len(found) and node not in seen:
                     seen.add(node)
-                    prefix, n_index, need = prefix_of(found, frequent, similarity)
+                    prefix, n_index, need = prefix_of(found, table, weights, similarity)
                     row = (node, len(found), need, prefix.view(np.int64), n_index, sketch(found))
                 made.append(row)
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary())
