@@ -250,6 +250,17 @@ def test_shingles_that_repeat_over_tasks_make_no_long_lists(spark, monkeypatch):
     assert jaccard_join.near_duplicates(docs, 4, (80, 100)).filter("doc_id = component_id").count() == 48
 
 
+def test_pipeline_makes_no_blocks_of_common_lines(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LIST", 8)
+    made, whole = [], jaccard_join.list_blocks
+    monkeypatch.setattr(jaccard_join, "list_blocks", lambda shared: made.append(whole(shared)) or made[-1])
+    line = " ".join(f"common{i}" for i in range(34))
+    rows = [(i, f"{line} {' '.join(f'own{i % 40}x{k}' for k in range(40))}{' again' * (i >= 40)}") for i in range(48)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(48, "doc_id")
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == set(range(40))
+    assert made[0].count() == 0
+
+
 def test_shingle_counts_are_summed_over_tasks(spark, monkeypatch):
     for name, value in (("CELLS", 1 << 10), ("ROW", 1 << 8), ("COUNTED", 50)):
         monkeypatch.setattr(jaccard_join, name, value)
